@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
+from ..functions.coerce import nullif_blank
 from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, parse_order_doc,
                       status_kept, stg_order_items, stg_orders)
 
@@ -75,6 +76,11 @@ def finish_costing(df: DataFrame) -> DataFrame:
     })
 
 
+def _sku_key(item: Column) -> Column:
+    """Struct holding the line's canonical SKU (NULL-safe equality in arrays)."""
+    return F.struct(F.coalesce(nullif_blank(item["ShadowOf"]), item["ProductID"]).alias("s"))
+
+
 def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataFrame,
                  excluded_status_codes: Iterable[int] = ()) -> DataFrame:
     """int_order_items_costed, shuffle-free (plus the FIRST_FLAG column).
@@ -82,6 +88,11 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     Lines of orders removed by the status filter are kept, with NULL order
     attributes and channel and no shipping or fee, exactly as a left join
     to the filtered orders would leave them.
+
+    Per order only two small array folds run before the explode (the
+    order's revenue, and the list of line SKUs used to flag the first line
+    of each SKU); all line arithmetic runs after the explode, inside
+    whole-stage codegen.
     """
     specific, generic = seeds.prepared_channel_lookups(channel_map)
     rules = seeds.prepared_fee_rules(fee_rules)
@@ -91,16 +102,12 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
         status_kept(excluded_status_codes).alias("kept"),
         doc["CompanyID"].alias("doc_company_id"),
         num0(doc["FinalShippingFee"]).alias("doc_shipping"),
-        F.transform(doc["Items"], lambda it: F.struct(*item_columns(it))).alias("lines"))
+        doc["Items"].alias("items"))
     o = o.withColumns({
         "order_revenue": F.aggregate(
-            "lines", zero(ORDER_SUM),
-            lambda acc, x: (acc + x["revenue"]).cast(ORDER_SUM)),
-        "lines": F.transform(
-            "lines",
-            lambda x, i: x.withField(
-                FIRST_FLAG,
-                ~F.exists(F.slice("lines", 1, i), lambda y: y["sku"].eqNullSafe(x["sku"])))),
+            "items", zero(ORDER_SUM),
+            lambda acc, x: (acc + num0(x["LineTotal"])).cast(ORDER_SUM)),
+        "sku_keys": F.transform("items", _sku_key),
     })
     o = (o.join(F.broadcast(specific),
                 (o.order_source == specific.order_source) & (o.doc_company_id == specific.company_id),
@@ -109,7 +116,7 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
           .join(F.broadcast(generic), "order_source", "left"))
     kept = F.col("kept")
     o = o.select(
-        "order_id", "lines", "order_revenue",
+        "order_id", "items", "sku_keys", "order_revenue",
         F.when(kept, F.col("created_on")).alias("created_on"),
         F.when(kept, F.col("order_source")).alias("order_source"),
         F.when(kept, F.col("doc_company_id")).alias("company_id"),
@@ -117,11 +124,16 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
             .alias("channel"),
         F.when(kept, F.col("doc_shipping")).alias("order_shipping_cost"))
     o = o.join(F.broadcast(rules), "channel", "left")
-    lines = o.select("*", F.explode("lines").alias("l")).drop("lines")
+    order_cols = [c for c in COSTED_EXTRA if c in o.columns]
+    # The outer variant plus a filter on the generated position keeps the
+    # optimizer from inferring a non-empty-array filter on the scan, which
+    # would parse every JSON document a second time.
+    lines = (o.select("order_id", "sku_keys", *order_cols,
+                      F.posexplode_outer("items").alias("pos", "item"))
+              .where(F.col("pos").isNotNull()))
     lines = lines.select(
-        "order_id", *[F.col("l")[c].alias(c) for c in STG_ITEMS_COLUMNS[1:]],
-        *[c for c in COSTED_EXTRA if c in o.columns and c != "lines"],
-        F.col("l")[FIRST_FLAG].alias(FIRST_FLAG))
+        "order_id", *item_columns(F.col("item")), *order_cols,
+        (F.array_position("sku_keys", _sku_key(F.col("item"))) == F.col("pos") + 1).alias(FIRST_FLAG))
     return finish_costing(lines).select(*INT_COSTED_COLUMNS, FIRST_FLAG)
 
 

@@ -107,8 +107,10 @@ def item_columns(item: Column) -> list[Column]:
 
 def stg_order_items(raw_orders: DataFrame) -> DataFrame:
     """P3 + J5: one row per order line (lateral unnest of ``Items``)."""
-    exploded = raw_orders.select(
-        "order_id", F.explode(parse_order_doc(F.col("raw"))["Items"]).alias("item"))
+    # explode_outer + filter: see costing.costed_lines (one JSON parse per order).
+    exploded = (raw_orders.select(
+        "order_id", F.posexplode_outer(parse_order_doc(F.col("raw"))["Items"]).alias("pos", "item"))
+        .where(F.col("pos").isNotNull()))
     return exploded.select("order_id", *item_columns(F.col("item")))
 
 

@@ -104,7 +104,8 @@ def q_returns_since(spark, sf):
 
 
 def _upsert_orders_result(spark, sf) -> DataFrame:
-    landed = landing.land_orders(testdata.order_payloads(spark, sf), testdata.FIXTURE_NOW)
+    # The re-pulled documents are the landed rows; arrival order = order id.
+    landed = inputs.raw_orders(spark, sf).withColumn("seq", F.col("order_id"))
     snapshot = landed.where(F.col("created_on") < F.lit(UPSERT_SNAPSHOT_BEFORE).cast("timestamp")) \
         .drop("seq")
     window = landed.where(F.col("created_on") >= F.lit(UPSERT_BATCH_FROM).cast("timestamp"))
