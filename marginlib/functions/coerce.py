@@ -12,14 +12,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
-# Text that the Python landing jobs treat as "no value" for an id (falsy).
-_FALSY_TEXT = ["", "0", "0.0", "false", "[]", "{}"]
+# JSON values that a Python ``or`` chain treats as "no value" (falsy).
+_FALSY_JSON = ['""', "false", "null", "[]", "{}"]
 
 
-def json_text(raw: Column, path: str) -> Column:
-    """``raw->>'key'``: JSON value at ``path`` as text; objects come back as
-    JSON text, JSON null and a missing key as NULL."""
-    return F.get_json_object(raw, path)
+def vtext(doc: Column, path: str) -> Column:
+    """``doc->>'key'`` on a VARIANT document: the value at ``path`` as text
+    (numbers and booleans printed, objects/arrays as JSON text; JSON null
+    and a missing key give NULL)."""
+    return F.try_variant_get(doc, path, "string")
+
+
+def vnum(doc: Column, path: str, dtype: str = "decimal(18,4)") -> Column:
+    """``(doc->>'key')::numeric``: exact for JSON numbers (no DOUBLE round
+    trip), numeric text is parsed, anything else gives NULL."""
+    return F.try_variant_get(doc, path, dtype)
+
+
+def vjson(doc: Column, path: str) -> Column:
+    """The value at ``path`` as JSON text (strings keep their quotes)."""
+    return F.to_json(F.try_variant_get(doc, path, "variant"))
 
 
 def to_num(v: Column, dtype: DataType = DecimalType(18, 4)) -> Column:
@@ -47,13 +59,16 @@ def parse_ts(v: Column) -> Column:
     return F.when(iso, s.try_cast("timestamp"))
 
 
-def truthy_or_null(v: Column) -> Column:
-    return F.when(~v.isin(*_FALSY_TEXT), v)
+def truthy_json(j: Column) -> Column:
+    """Python truthiness of a JSON value given as JSON text."""
+    zero_number = j.rlike(r"^-?[0-9]") & (j.try_cast("double") == 0)
+    return j.isNotNull() & ~j.isin(*_FALSY_JSON) & ~zero_number
 
 
-def first_truthy(*cols: Column) -> Column:
-    """First value that a Python ``or`` chain would pick (falsy text skipped)."""
-    return F.coalesce(*[truthy_or_null(c) for c in cols])
+def first_truthy(doc: Column, *paths: str) -> Column:
+    """``d.get(a) or d.get(b) or ...`` as text: the first truthy value (an
+    empty string, 0, false, null, [] and {} are skipped)."""
+    return F.coalesce(*[F.when(truthy_json(vjson(doc, p)), vtext(doc, p)) for p in paths])
 
 
 def nullif_blank(v: Column) -> Column:

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
-from ..functions.coerce import nullif_blank
-from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, parse_order_doc,
+from ..functions.coerce import vtext
+from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, order_items, sku_of,
                       status_kept, stg_order_items, stg_orders)
 
 COSTED_EXTRA = ["order_revenue", "created_on", "order_source", "company_id", "channel",
@@ -78,7 +78,7 @@ def finish_costing(df: DataFrame) -> DataFrame:
 
 def _sku_key(item: Column) -> Column:
     """Struct holding the line's canonical SKU (NULL-safe equality in arrays)."""
-    return F.struct(F.coalesce(nullif_blank(item["ShadowOf"]), item["ProductID"]).alias("s"))
+    return F.struct(sku_of(item).alias("s"))
 
 
 def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataFrame,
@@ -96,17 +96,17 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     """
     specific, generic = seeds.prepared_channel_lookups(channel_map)
     rules = seeds.prepared_fee_rules(fee_rules)
-    doc = parse_order_doc(F.col("raw"))
+    doc = F.col("raw")
     o = raw_orders.select(
         "order_id", "created_on", "order_source",
         status_kept(excluded_status_codes).alias("kept"),
-        doc["CompanyID"].alias("doc_company_id"),
-        num0(doc["FinalShippingFee"]).alias("doc_shipping"),
-        doc["Items"].alias("items"))
+        vtext(doc, "$.CompanyID").alias("doc_company_id"),
+        num0(doc, "FinalShippingFee").alias("doc_shipping"),
+        order_items(doc).alias("items"))
     o = o.withColumns({
         "order_revenue": F.aggregate(
             "items", zero(ORDER_SUM),
-            lambda acc, x: (acc + num0(x["LineTotal"])).cast(ORDER_SUM)),
+            lambda acc, x: (acc + num0(x, "LineTotal")).cast(ORDER_SUM)),
         "sku_keys": F.transform("items", _sku_key),
     })
     o = (o.join(F.broadcast(specific),
@@ -126,8 +126,7 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     o = o.join(F.broadcast(rules), "channel", "left")
     order_cols = [c for c in COSTED_EXTRA if c in o.columns]
     # The outer variant plus a filter on the generated position keeps the
-    # optimizer from inferring a non-empty-array filter on the scan, which
-    # would parse every JSON document a second time.
+    # optimizer from inferring a non-empty-array filter on the scan side.
     lines = (o.select("order_id", "sku_keys", *order_cols,
                       F.posexplode_outer("items").alias("pos", "item"))
               .where(F.col("pos").isNotNull()))

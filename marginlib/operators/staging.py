@@ -1,4 +1,13 @@
-"""Staging: parse landed JSON once into typed order, line and catalog rows."""
+"""Staging: typed order, line and catalog rows from the landed documents.
+
+The landed ``raw`` column is a VARIANT (parsed once at landing), so
+staging reads fields from binary JSON without parsing text.  Numbers are
+read with ``try_variant_get`` as DECIMAL: exact for JSON numbers, numeric
+text is parsed, anything else (a malformed value, an object) becomes NULL
+for that value only instead of failing the job.  A non-array ``Items``
+gives an order no lines; array elements that are not objects give lines
+with NULL fields, as a lateral unnest of the array would.
+"""
 
 from __future__ import annotations
 
@@ -7,23 +16,9 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import nullif_blank, to_bool
+from ..functions.coerce import nullif_blank, to_bool, vnum, vtext
 from ..functions.numeric import NUM, PRODUCT, zero
 
-# Order document fields read by staging.  Numbers are read as text and cast
-# with try_cast: a malformed value becomes NULL for that value only.  A
-# non-array ``Items`` parses to NULL, so such an order has no lines.
-ITEM_TYPE = ("struct<ID:string,ProductID:string,ShadowOf:string,ProductName:string,"
-             "Qty:string,QtyReturned:string,SitePrice:string,LineTotal:string,"
-             "AverageCost:string,FinalValueFee:string,TotalRefunded:string,"
-             "BundleItems:string>")
-ORDER_DOC_TYPE = (f"struct<CompanyID:string,CompanyName:string,OrderSourceUrl:string,"
-                  f"ShippingTotal:string,FinalShippingFee:string,Items:array<{ITEM_TYPE}>>")
-
-CATALOG_DOC_TYPE = ("struct<ShadowOf:string,ProductName:string,ActiveStatus:string,"
-                    "IsEndOfLife:string,IsKit:string,SitePrice:string,AverageCost:string,"
-                    "LastCost:string,BrandName:string,ProductType:string,WeightLbs:string>")
-
 STG_ORDERS_COLUMNS = ["order_id", "order_source", "company_id", "status_code", "created_on",
                       "last_updated", "grand_total", "shipping_charged_to_customer",
                       "order_shipping_cost", "order_source_order_id", "company_name",
@@ -37,29 +32,32 @@ STG_CATALOG_COLUMNS = ["sku", "canonical_sku", "parent_sku", "product_name", "ac
                        "is_active", "is_end_of_life", "is_kit", "msrp", "average_cost", "last_cost",
                        "current_cost", "brand", "product_type", "weight_lbs"]
 
+_NUM = "decimal(18,4)"
 
-def num(c: Column) -> Column:
-    """``(x)::numeric`` on JSON text, NULL when it does not parse."""
-    return c.try_cast(NUM)
 
+def num(doc: Column, key: str) -> Column:
+    """``(doc->>'key')::numeric``, NULL when it is not a number."""
+    return vnum(doc, f"$.{key}", _NUM)
 
-def num0(c: Column) -> Column:
-    """``coalesce((x)::numeric, 0)``."""
-    return F.coalesce(num(c), zero())
 
+def num0(doc: Column, key: str) -> Column:
+    """``coalesce((doc->>'key')::numeric, 0)``."""
+    return F.coalesce(num(doc, key), zero())
 
-def parse_order_doc(raw: Column) -> Column:
-    return F.from_json(raw, ORDER_DOC_TYPE)
+
+def order_items(doc: Column) -> Column:
+    """The ``Items`` array of an order document (NULL unless an array)."""
+    return F.try_variant_get(doc, "$.Items", "array<variant>")
 
 
 def order_header_columns(doc: Column) -> dict[str, Column]:
     """P1 columns taken from the order document, by output name."""
     return {
-        "company_id": doc["CompanyID"],
-        "shipping_charged_to_customer": num0(doc["ShippingTotal"]),
-        "order_shipping_cost": num0(doc["FinalShippingFee"]),
-        "company_name": doc["CompanyName"],
-        "order_source_url": doc["OrderSourceUrl"],
+        "company_id": vtext(doc, "$.CompanyID"),
+        "shipping_charged_to_customer": num0(doc, "ShippingTotal"),
+        "order_shipping_cost": num0(doc, "FinalShippingFee"),
+        "company_name": vtext(doc, "$.CompanyName"),
+        "order_source_url": vtext(doc, "$.OrderSourceUrl"),
     }
 
 
@@ -77,64 +75,74 @@ def status_kept(codes: Iterable[int]) -> Column:
 
 def stg_orders(raw_orders: DataFrame, excluded_status_codes: Iterable[int] = ()) -> DataFrame:
     """P1 + P2: one row per order."""
-    hdr = order_header_columns(parse_order_doc(F.col("raw")))
+    hdr = order_header_columns(F.col("raw"))
     return raw_orders.where(status_kept(excluded_status_codes)).select(
         *[hdr[c].alias(c) if c in hdr else F.col(c) for c in STG_ORDERS_COLUMNS])
 
 
+def sku_of(item: Column) -> Column:
+    """P5: parent SKU when non-empty, else the line's own product id."""
+    return F.coalesce(nullif_blank(vtext(item, "$.ShadowOf")), vtext(item, "$.ProductID"))
+
+
 def item_columns(item: Column) -> list[Column]:
-    """P3 + P5 + F5 + F21 on one parsed item struct (order_id excluded)."""
-    qty = num0(item["Qty"])
-    unit_cost = num(item["AverageCost"])
-    shadow = nullif_blank(item["ShadowOf"])
+    """P3 + P5 + F5 + F21 on one line (a VARIANT); order_id excluded."""
+    qty = num0(item, "Qty")
+    unit_cost = num(item, "AverageCost")
     return [
-        item["ID"].try_cast("bigint").alias("order_item_id"),
-        item["ProductID"].alias("source_sku"),
-        shadow.alias("parent_sku"),
-        F.coalesce(shadow, item["ProductID"]).alias("sku"),
-        item["ProductName"].alias("product_name"),
+        vnum(item, "$.ID", "bigint").alias("order_item_id"),
+        vtext(item, "$.ProductID").alias("source_sku"),
+        nullif_blank(vtext(item, "$.ShadowOf")).alias("parent_sku"),
+        sku_of(item).alias("sku"),
+        vtext(item, "$.ProductName").alias("product_name"),
         qty.alias("qty"),
-        num0(item["QtyReturned"]).alias("qty_returned"),
-        num(item["SitePrice"]).alias("unit_price"),
-        num0(item["LineTotal"]).alias("revenue"),
+        num0(item, "QtyReturned").alias("qty_returned"),
+        num(item, "SitePrice").alias("unit_price"),
+        num0(item, "LineTotal").alias("revenue"),
         unit_cost.alias("unit_cost"),
         (qty * F.coalesce(unit_cost, zero())).cast(PRODUCT).alias("cogs"),
-        num0(item["FinalValueFee"]).alias("marketplace_fee"),
-        num0(item["TotalRefunded"]).alias("refunds"),
-        (F.coalesce(F.json_array_length(item["BundleItems"]), F.lit(0)) > 0).alias("is_bundle"),
+        num0(item, "FinalValueFee").alias("marketplace_fee"),
+        num0(item, "TotalRefunded").alias("refunds"),
+        (F.coalesce(F.array_size(F.try_variant_get(item, "$.BundleItems", "array<variant>")),
+                    F.lit(0)) > 0).alias("is_bundle"),
     ]
 
 
+def explode_items(df: DataFrame, *keep: str) -> DataFrame:
+    """One row per element of ``Items`` (orders without an array vanish).
+
+    The outer variant plus a filter on the generated position keeps the
+    optimizer from adding a non-empty-array filter below the explode.
+    """
+    return (df.select(*keep, F.posexplode_outer(order_items(F.col("raw"))).alias("pos", "item"))
+              .where(F.col("pos").isNotNull()))
+
+
 def stg_order_items(raw_orders: DataFrame) -> DataFrame:
-    """P3 + J5: one row per order line (lateral unnest of ``Items``)."""
-    # explode_outer + filter: see costing.costed_lines (one JSON parse per order).
-    exploded = (raw_orders.select(
-        "order_id", F.posexplode_outer(parse_order_doc(F.col("raw"))["Items"]).alias("pos", "item"))
-        .where(F.col("pos").isNotNull()))
-    return exploded.select("order_id", *item_columns(F.col("item")))
+    """P3 + J5: one row per order line."""
+    return explode_items(raw_orders, "order_id").select("order_id", *item_columns(F.col("item")))
 
 
 def stg_catalog(raw_catalog: DataFrame) -> DataFrame:
     """P4 + P5 + F11: one row per catalog product."""
-    d = F.from_json("raw", CATALOG_DOC_TYPE)
-    c = raw_catalog.select("product_id", "product_name", "average_cost", d.alias("d"))
-    shadow = nullif_blank(F.col("d.ShadowOf"))
-    last_cost = num(F.col("d.LastCost"))
-    avg_json = num(F.col("d.AverageCost"))
-    return c.select(
+    d = F.col("raw")
+    shadow = nullif_blank(vtext(d, "$.ShadowOf"))
+    last_cost = num(d, "LastCost")
+    avg_json = num(d, "AverageCost")
+    return raw_catalog.select(
         F.col("product_id").alias("sku"),
         F.coalesce(shadow, F.col("product_id")).alias("canonical_sku"),
         shadow.alias("parent_sku"),
-        F.coalesce("product_name", F.col("d.ProductName")).alias("product_name"),
-        F.col("d.ActiveStatus").alias("active_status"),
-        (F.col("d.ActiveStatus") == "Active").alias("is_active"),
-        to_bool(F.col("d.IsEndOfLife")).alias("is_end_of_life"),
-        to_bool(F.col("d.IsKit")).alias("is_kit"),
-        num(F.col("d.SitePrice")).alias("msrp"),
+        F.coalesce("product_name", vtext(d, "$.ProductName")).alias("product_name"),
+        vtext(d, "$.ActiveStatus").alias("active_status"),
+        (vtext(d, "$.ActiveStatus") == "Active").alias("is_active"),
+        to_bool(vtext(d, "$.IsEndOfLife")).alias("is_end_of_life"),
+        to_bool(vtext(d, "$.IsKit")).alias("is_kit"),
+        num(d, "SitePrice").alias("msrp"),
         F.coalesce(F.col("average_cost").cast(NUM), avg_json).alias("average_cost"),
         last_cost.alias("last_cost"),
         F.coalesce(F.when(last_cost != 0, last_cost), avg_json).alias("current_cost"),
-        F.col("d.BrandName").alias("brand"),
-        F.col("d.ProductType").alias("product_type"),
-        num(F.col("d.WeightLbs")).alias("weight_lbs"),
+        vtext(d, "$.BrandName").alias("brand"),
+        vtext(d, "$.ProductType").alias("product_type"),
+        num(d, "WeightLbs").alias("weight_lbs"),
     )

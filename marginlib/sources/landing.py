@@ -3,8 +3,11 @@
 Input of every function here is a DataFrame of JSON documents with a
 ``value`` column (one document per row, e.g. ``spark.read.text`` over
 JSON-lines files) and an optional ``seq`` column giving arrival order
-(used by the latest-wins upsert).  The whole document is kept in ``raw``;
-typed key columns are pulled out with one ``from_json`` per document.
+(used by the latest-wins upsert).  Each document is parsed once, with
+``try_parse_json``, into a VARIANT kept whole in ``raw`` (binary JSON, like
+the jsonb column it stands for): typed key columns are read from it here,
+and every later model reads fields from it without parsing text again.
+JSON numbers stay exact decimals (no DOUBLE round trip).
 """
 
 from __future__ import annotations
@@ -12,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+                               StructField, StructType, TimestampType, VariantType)
 
-from ..functions.coerce import first_truthy, nullif_blank, parse_ts, to_num, to_text
+from ..functions.coerce import first_truthy, nullif_blank, parse_ts, to_num, vnum, vtext
 
 RAW_ORDERS_SCHEMA = StructType([
     StructField("order_id", LongType(), False),
@@ -24,7 +27,7 @@ RAW_ORDERS_SCHEMA = StructType([
     StructField("grand_total", DecimalType(14, 2)),
     StructField("order_source", IntegerType()),
     StructField("status_code", IntegerType()),
-    StructField("raw", StringType(), False),
+    StructField("raw", VariantType(), False),
     StructField("extracted_at", TimestampType(), False),
 ])
 
@@ -33,7 +36,7 @@ RAW_CATALOG_SCHEMA = StructType([
     StructField("product_name", StringType()),
     StructField("shadow_of", StringType()),
     StructField("average_cost", DecimalType(14, 4)),
-    StructField("raw", StringType(), False),
+    StructField("raw", VariantType(), False),
     StructField("extracted_at", TimestampType(), False),
 ])
 
@@ -47,7 +50,7 @@ RAW_RETURNS_SCHEMA = StructType([
     StructField("disposition", StringType()),
     StructField("labor_cost", DecimalType(12, 2)),
     StructField("processing_cost", DecimalType(12, 2)),
-    StructField("raw", StringType(), False),
+    StructField("raw", VariantType(), False),
     StructField("extracted_at", TimestampType(), False),
 ])
 
@@ -69,13 +72,6 @@ RETURN_QIDS = {
     "processing_cost": "123",
 }
 
-# Header fields of an order document, all read as text (numbers arrive as
-# their JSON text and are cast with try_cast, so one bad value only nulls
-# that value).
-_ORDER_HEADER = ("struct<ID:string,OrderSourceOrderID:string,CreatedOn:string,"
-                 "LastUpdated:string,GrandTotal:string,OrderSource:string,StatusCode:string>")
-
-
 def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
@@ -84,67 +80,69 @@ def _with_seq(payloads: DataFrame) -> Column:
     return F.col("seq") if "seq" in payloads.columns else F.lit(None).cast("long")
 
 
+def _parsed(payloads: DataFrame) -> DataFrame:
+    return payloads.select(F.try_parse_json("value").alias("raw"),
+                           _with_seq(payloads).alias("seq"))
+
+
 def land_orders(payloads: DataFrame, extracted_at) -> DataFrame:
     """Order document -> raw_orders row (+ ``seq``)."""
-    h = F.from_json("value", _ORDER_HEADER)
-    return (payloads.select(h.alias("h"), "value", _with_seq(payloads).alias("seq"))
-            .select(
-                F.col("h.ID").try_cast("bigint").alias("order_id"),
-                to_text(F.col("h.OrderSourceOrderID")).alias("order_source_order_id"),
-                parse_ts(F.col("h.CreatedOn")).alias("created_on"),
-                parse_ts(F.col("h.LastUpdated")).alias("last_updated"),
-                F.col("h.GrandTotal").try_cast("decimal(14,2)").alias("grand_total"),
-                F.col("h.OrderSource").try_cast("int").alias("order_source"),
-                F.col("h.StatusCode").try_cast("int").alias("status_code"),
-                F.col("value").alias("raw"),
-                _ts(extracted_at).alias("extracted_at"),
-                "seq"))
+    d = F.col("raw")
+    return _parsed(payloads).select(
+        vnum(d, "$.ID", "bigint").alias("order_id"),
+        vtext(d, "$.OrderSourceOrderID").alias("order_source_order_id"),
+        parse_ts(vtext(d, "$.CreatedOn")).alias("created_on"),
+        parse_ts(vtext(d, "$.LastUpdated")).alias("last_updated"),
+        vnum(d, "$.GrandTotal", "decimal(14,2)").alias("grand_total"),
+        vnum(d, "$.OrderSource", "int").alias("order_source"),
+        vnum(d, "$.StatusCode", "int").alias("status_code"),
+        "raw",
+        _ts(extracted_at).alias("extracted_at"),
+        "seq")
 
 
 def land_catalog(payloads: DataFrame, extracted_at) -> DataFrame:
     """Product document -> raw_catalog row (+ ``seq``).
 
-    The id is the first truthy of ProductID, ID, Sku, SKU; rows without one
-    get a NULL id and are dropped (and counted) by the upsert.  Keys are
-    matched case-sensitively (``Sku`` and ``SKU`` are different keys), so the
-    header is read with one ``json_tuple`` pass.
+    The id is the first truthy of ProductID, ID, Sku, SKU (keys are
+    case-sensitive); rows without one get a NULL id and are dropped (and
+    counted) by the upsert.
     """
-    keys = ["ProductID", "ID", "Sku", "SKU", "ProductName", "ShadowOf", "AverageCost"]
-    h = payloads.select("value", _with_seq(payloads).alias("seq"),
-                        F.json_tuple("value", *keys).alias(*[f"h{i}" for i in range(len(keys))]))
-    return h.select(
-        first_truthy(F.col("h0"), F.col("h1"), F.col("h2"), F.col("h3")).alias("product_id"),
-        F.col("h4").alias("product_name"),
-        nullif_blank(F.col("h5")).alias("shadow_of"),
-        to_num(F.col("h6"), DecimalType(14, 4)).alias("average_cost"),
-        F.col("value").alias("raw"),
+    d = F.col("raw")
+    return _parsed(payloads).select(
+        first_truthy(d, "$.ProductID", "$.ID", "$.Sku", "$.SKU").alias("product_id"),
+        vtext(d, "$.ProductName").alias("product_name"),
+        nullif_blank(vtext(d, "$.ShadowOf")).alias("shadow_of"),
+        to_num(vtext(d, "$.AverageCost"), DecimalType(14, 4)).alias("average_cost"),
+        "raw",
         _ts(extracted_at).alias("extracted_at"),
         "seq")
 
 
 def _answer(qid: str) -> Column:
-    return F.get_json_object("value", f"$.answers.{qid}.answer")
+    return vtext(F.col("raw"), f"$.answers['{qid}'].answer")
 
 
 def land_returns(payloads: DataFrame, extracted_at) -> DataFrame:
-    """S3: form submission -> raw_returns row (+ ``seq``)."""
+    """S3: form submission -> raw_returns row (+ ``seq``).
+
+    Answers that are objects (time widgets etc.) land as their JSON text.
+    """
     q = RETURN_QIDS
-    h = F.from_json("value", "struct<id:string,created_at:string,answers:map<string,struct<answer:string>>>")
-    a = F.col("h.answers")
-    return (payloads.select(h.alias("h"), "value", _with_seq(payloads).alias("seq"))
-            .select(
-                to_text(F.col("h.id")).alias("submission_id"),
-                parse_ts(F.col("h.created_at")).alias("created_at"),
-                a[q["order_rma"]]["answer"].alias("order_rma"),
-                a[q["sku_raw"]]["answer"].alias("sku_raw"),
-                a[q["channel"]]["answer"].alias("channel"),
-                a[q["reason"]]["answer"].alias("reason"),
-                a[q["disposition"]]["answer"].alias("disposition"),
-                to_num(a[q["labor_cost"]]["answer"], DecimalType(12, 2)).alias("labor_cost"),
-                to_num(a[q["processing_cost"]]["answer"], DecimalType(12, 2)).alias("processing_cost"),
-                F.col("value").alias("raw"),
-                _ts(extracted_at).alias("extracted_at"),
-                "seq"))
+    d = F.col("raw")
+    return _parsed(payloads).select(
+        vtext(d, "$.id").alias("submission_id"),
+        parse_ts(vtext(d, "$.created_at")).alias("created_at"),
+        _answer(q["order_rma"]).alias("order_rma"),
+        _answer(q["sku_raw"]).alias("sku_raw"),
+        _answer(q["channel"]).alias("channel"),
+        _answer(q["reason"]).alias("reason"),
+        _answer(q["disposition"]).alias("disposition"),
+        to_num(_answer(q["labor_cost"]), DecimalType(12, 2)).alias("labor_cost"),
+        to_num(_answer(q["processing_cost"]), DecimalType(12, 2)).alias("processing_cost"),
+        "raw",
+        _ts(extracted_at).alias("extracted_at"),
+        "seq")
 
 
 def orders_window(raw_orders: DataFrame, since=None, until=None) -> DataFrame:
