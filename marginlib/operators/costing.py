@@ -82,12 +82,15 @@ def _sku_key(item: Column) -> Column:
 
 
 def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataFrame,
-                 excluded_status_codes: Iterable[int] = ()) -> DataFrame:
+                 excluded_status_codes: Iterable[int] = (),
+                 drop_excluded_lines: bool = False) -> DataFrame:
     """int_order_items_costed, shuffle-free (plus the FIRST_FLAG column).
 
-    Lines of orders removed by the status filter are kept, with NULL order
-    attributes and channel and no shipping or fee, exactly as a left join
-    to the filtered orders would leave them.
+    By default lines of orders removed by the status filter are kept, with
+    NULL order attributes and channel and no shipping or fee, exactly as
+    the SQL model's left join to the filtered orders leaves them.  With
+    ``drop_excluded_lines=True`` those lines are removed instead (what the
+    project's documentation says the filter is for).
 
     Per order only two small array folds run before the explode (the
     order's revenue, and the list of line SKUs used to flag the first line
@@ -103,6 +106,8 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
         vtext(doc, "$.CompanyID").alias("doc_company_id"),
         num0(doc, "FinalShippingFee").alias("doc_shipping"),
         order_items(doc).alias("items"))
+    if drop_excluded_lines:
+        o = o.where(F.col("kept"))
     o = o.withColumns({
         "order_revenue": F.aggregate(
             "items", zero(ORDER_SUM),

@@ -620,4 +620,13 @@ FROM stg_returns""", extra=RETURNS_CTES)
         un("raw_returns", raw_ret, "submission_id"),
     ]
     q["dq_checks"] = W("\nUNION ALL\n".join(parts), extra=full)
+    dq_all = "(" + "\nUNION ALL\n".join(parts) + ")"
+    q["dq_not_null"] = W(f"SELECT * FROM {dq_all} d WHERE \"check\" = 'not_null' "
+                         "AND NOT starts_with(model, 'raw_')", extra=full)
+    q["dq_unique"] = W(f"SELECT * FROM {dq_all} d WHERE \"check\" = 'unique' "
+                       "AND NOT starts_with(model, 'raw_')", extra=full)
+    q["dq_landed"] = W(f"SELECT * FROM {dq_all} d WHERE starts_with(model, 'raw_')", extra=full)
+    q["int_order_items_costed_dropped"] = W(
+        f"SELECT {costed_sel} FROM costed WHERE order_id IN (SELECT order_id FROM stg_orders)",
+        excluded=EXCLUDED_CODES)
     return q

@@ -331,6 +331,26 @@ def q_dq_checks(spark, sf):
     return checks.run_checks(tests)
 
 
+def q_dq_not_null(spark, sf):
+    return q_dq_checks(spark, sf).where(F.col("check") == "not_null") \
+        .where(~F.col("model").startswith("raw_"))
+
+
+def q_dq_unique(spark, sf):
+    return q_dq_checks(spark, sf).where(F.col("check") == "unique") \
+        .where(~F.col("model").startswith("raw_"))
+
+
+def q_dq_landed(spark, sf):
+    return q_dq_checks(spark, sf).where(F.col("model").startswith("raw_"))
+
+
+def q_int_order_items_costed_dropped(spark, sf):
+    c = costing.costed_lines(inputs.raw_orders(spark, sf), inputs.channel_map(spark),
+                             inputs.fee_rules(spark), EXCLUDED_CODES, drop_excluded_lines=True)
+    return present(c.select(*costing.INT_COSTED_COLUMNS), COSTED_TYPES)
+
+
 def q_upsert_stream_latest(spark, sf):
     from ..streaming.upsert_stream import events_latest_stream
     return present(events_latest_stream(spark, sf))

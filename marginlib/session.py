@@ -87,3 +87,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def write_atomic(spark: SparkSession, df, path: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as Parquet at ``path`` via a temporary folder + rename.
+
+    Readers never see a half-written table; a failed task is retried by
+    Spark, a failed job leaves only the temporary folder behind.  An
+    existing table at ``path`` is replaced after the new one is complete.
+    """
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tmp_str = f"{path.rstrip('/')}.__tmp-{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(tmp_str)
+    tmp = jvm.org.apache.hadoop.fs.Path(tmp_str)
+    if fs.exists(final):
+        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex}")
+        fs.rename(final, old)
+        fs.rename(tmp, final)
+        fs.delete(old, True)
+    else:
+        fs.rename(tmp, final)
+    return path
