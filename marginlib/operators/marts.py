@@ -39,12 +39,39 @@ def _orders_count(df: DataFrame) -> Column:
     return F.countDistinct("order_id")
 
 
-def _avg_positive(c: str) -> Column:
-    """``avg(x) filter (where x > 0)``, exact (sum / count)."""
+def _grouped(df: DataFrame, keys: list[str], text_col: str, specs: list[tuple]) -> DataFrame:
+    """``groupBy(keys)`` with ``max(text_col)`` plus decomposable aggregates.
+
+    ``specs``: (name, line-level aggregate, how partial results merge).
+    A text ``max`` cannot be hash-aggregated, which would make Spark sort
+    every line.  With the first-line flag present (orders counted by a sum)
+    all other aggregates decompose, so lines are first hash-aggregated by
+    (keys, text) -- a few rows per SKU -- and only that small result is
+    aggregated by ``keys`` with the text ``max``.
+    """
+    if FIRST_FLAG not in df.columns:
+        return df.groupBy(*keys).agg(F.max(text_col).alias(text_col),
+                                     *[agg.alias(n) for n, agg, _ in specs])
+    part = df.groupBy(*keys, text_col).agg(*[agg.alias(n) for n, agg, _ in specs])
+    return part.groupBy(*keys).agg(F.max(text_col).alias(text_col),
+                                   *[merge(n).alias(n) for n, _, merge in specs])
+
+
+def _pos_specs(c: str) -> list[tuple]:
+    """Pieces of ``avg(x) filter (where x > 0)``."""
     pos = F.col(c) > 0
-    s = F.sum(F.when(pos, F.col(c)))
-    n = F.count(F.when(pos, F.lit(1)))
-    return round_money(qdiv(s, n, in_type=_WIDE, out_type=dec(38, 12)))
+    return [(f"_{c}_pos_sum", F.sum(F.when(pos, F.col(c))), F.sum),
+            (f"_{c}_pos_n", F.count(F.when(pos, F.lit(1))), F.sum)]
+
+
+def _avg_pos_out(c: str) -> Column:
+    """``round(avg(x) filter (where x > 0), 2)`` from the pieces, exact."""
+    return round_money(qdiv(F.col(f"_{c}_pos_sum"), F.col(f"_{c}_pos_n"), in_type=_WIDE,
+                            out_type=dec(38, 12)))
+
+
+def _sum(c: str) -> tuple:
+    return (f"s_{c}", F.sum(c), F.sum)
 
 
 def catalog_rollup(stg_catalog_df: DataFrame) -> DataFrame:
@@ -69,24 +96,30 @@ def fct_order_item_profit(costed: DataFrame) -> DataFrame:
 
 def fct_sku_profit(costed: DataFrame, stg_catalog_df: DataFrame) -> DataFrame:
     """A2 + J8 + F8: all-time profit per canonical SKU."""
-    agg = costed.groupBy("sku").agg(
-        F.max("product_name").alias("product_name"),
-        F.bool_or("is_bundle").alias("has_bundle_lines"),
-        F.count(F.lit(1)).alias("sales"),
-        _orders_count(costed).alias("orders"),
-        F.sum("qty").cast(QTY_SUM).alias("units_sold"),
-        F.sum("qty_returned").cast(QTY_SUM).alias("units_returned"),
-        round_money(F.sum("revenue")).alias("gross_revenue"),
-        round_money(F.sum("refunds")).alias("refunds"),
-        round_money(F.sum("net_revenue")).alias("net_revenue"),
-        round_money(F.sum("cogs")).alias("cogs"),
-        round_money(F.sum("channel_fee")).alias("channel_fees"),
-        round_money(qdiv(F.sum("channel_fee"), F.count(F.lit(1)), in_type=_WIDE,
+    specs = [("has_bundle_lines", F.bool_or("is_bundle"), F.bool_or),
+             ("sales", F.count(F.lit(1)), F.sum),
+             ("orders", _orders_count(costed), F.sum),
+             _sum("qty"), _sum("qty_returned"), _sum("revenue"), _sum("refunds"),
+             _sum("net_revenue"), _sum("cogs"), _sum("channel_fee"),
+             *_pos_specs("allocated_shipping_cost"), _sum("allocated_shipping_cost"),
+             _sum("gross_profit"), _sum("contribution")]
+    g = _grouped(costed, ["sku"], "product_name", specs)
+    agg = g.select(
+        "sku", "product_name", "has_bundle_lines",
+        F.col("sales").cast("long").alias("sales"), F.col("orders").cast("long").alias("orders"),
+        F.col("s_qty").cast(QTY_SUM).alias("units_sold"),
+        F.col("s_qty_returned").cast(QTY_SUM).alias("units_returned"),
+        round_money(F.col("s_revenue")).alias("gross_revenue"),
+        round_money(F.col("s_refunds")).alias("refunds"),
+        round_money(F.col("s_net_revenue")).alias("net_revenue"),
+        round_money(F.col("s_cogs")).alias("cogs"),
+        round_money(F.col("s_channel_fee")).alias("channel_fees"),
+        round_money(qdiv(F.col("s_channel_fee"), F.col("sales"), in_type=_WIDE,
                          out_type=dec(38, 12))).alias("avg_channel_fee_per_sale"),
-        _avg_positive("allocated_shipping_cost").alias("avg_shipping_cost"),
-        round_money(F.sum("allocated_shipping_cost")).alias("shipping_cost"),
-        round_money(F.sum("gross_profit")).alias("gross_profit"),
-        round_money(F.sum("contribution")).alias("contribution"))
+        _avg_pos_out("allocated_shipping_cost").alias("avg_shipping_cost"),
+        round_money(F.col("s_allocated_shipping_cost")).alias("shipping_cost"),
+        round_money(F.col("s_gross_profit")).alias("gross_profit"),
+        round_money(F.col("s_contribution")).alias("contribution"))
     cat = catalog_rollup(stg_catalog_df).select("canonical_sku", "msrp", "is_active")
     j = agg.join(cat, agg.sku == cat.canonical_sku, "left").drop("canonical_sku")
     contrib, units = F.col("contribution"), F.col("units_sold")
@@ -104,54 +137,46 @@ def fct_sku_profit(costed: DataFrame, stg_catalog_df: DataFrame) -> DataFrame:
 
 def fct_sku_profit_monthly(costed: DataFrame) -> DataFrame:
     """A3 + F9: profit per SKU and calendar month of the order."""
-    month = F.trunc("ordered_at", "month")
-    df = costed.withColumn("month", month)
-    agg = df.groupBy("month", "sku").agg(
-        F.max("product_name").alias("product_name"),
-        F.count(F.lit(1)).alias("sales"),
-        _orders_count(df).alias("orders"),
-        F.sum("qty").cast(QTY_SUM).alias("units_sold"),
-        F.sum("revenue").alias("s_rev"),
-        F.sum("net_revenue").alias("s_net"),
-        F.sum("cogs").alias("s_cogs"),
-        F.sum("channel_fee").alias("s_fee"),
-        F.sum("allocated_shipping_cost").alias("s_ship"),
-        F.sum("gross_profit").alias("s_gp"),
-        F.sum("contribution").alias("s_contrib"))
-    return agg.select(
+    df = costed.withColumn("month", F.trunc("ordered_at", "month"))
+    specs = [("sales", F.count(F.lit(1)), F.sum), ("orders", _orders_count(df), F.sum),
+             _sum("qty"), _sum("revenue"), _sum("net_revenue"), _sum("cogs"),
+             _sum("channel_fee"), _sum("allocated_shipping_cost"), _sum("gross_profit"),
+             _sum("contribution")]
+    g = _grouped(df, ["month", "sku"], "product_name", specs)
+    return g.select(
         F.concat(F.col("sku"), F.lit("|"), F.date_format("month", "yyyy-MM")).alias("sku_month"),
-        "month", "sku", "product_name", "sales", "orders", "units_sold",
-        round_money(F.col("s_rev")).alias("gross_revenue"),
-        round_money(F.col("s_net")).alias("net_revenue"),
+        "month", "sku", "product_name",
+        F.col("sales").cast("long").alias("sales"), F.col("orders").cast("long").alias("orders"),
+        F.col("s_qty").cast(QTY_SUM).alias("units_sold"),
+        round_money(F.col("s_revenue")).alias("gross_revenue"),
+        round_money(F.col("s_net_revenue")).alias("net_revenue"),
         round_money(F.col("s_cogs")).alias("cogs"),
-        round_money(F.col("s_fee")).alias("channel_fees"),
-        round_money(F.col("s_ship")).alias("shipping_cost"),
-        round_money(F.col("s_gp")).alias("gross_profit"),
-        round_money(F.col("s_contrib")).alias("contribution"),
-        round_pct(qdiv(F.col("s_contrib"), F.col("s_net"), in_type=_WIDE))
+        round_money(F.col("s_channel_fee")).alias("channel_fees"),
+        round_money(F.col("s_allocated_shipping_cost")).alias("shipping_cost"),
+        round_money(F.col("s_gross_profit")).alias("gross_profit"),
+        round_money(F.col("s_contribution")).alias("contribution"),
+        round_pct(qdiv(F.col("s_contribution"), F.col("s_net_revenue"), in_type=_WIDE))
             .alias("contribution_margin_pct"))
 
 
 def fct_sku_channel(costed: DataFrame) -> DataFrame:
     """A4 + F10: sales and fees per SKU x channel."""
-    agg = costed.groupBy("sku", "channel").agg(
-        F.max("fee_method").alias("fee_method"),
-        F.count(F.lit(1)).alias("sales"),
-        _orders_count(costed).alias("orders"),
-        F.sum("qty").cast(QTY_SUM).alias("units_sold"),
-        F.sum("revenue").alias("s_rev"),
-        F.sum("channel_fee").alias("s_fee"),
-        _avg_positive("allocated_shipping_cost").alias("avg_shipping_cost"),
-        round_money(F.sum("list_discount")).alias("list_discount_total"))
-    return agg.select(
+    specs = [("sales", F.count(F.lit(1)), F.sum), ("orders", _orders_count(costed), F.sum),
+             _sum("qty"), _sum("revenue"), _sum("channel_fee"),
+             *_pos_specs("allocated_shipping_cost"), _sum("list_discount")]
+    g = _grouped(costed, ["sku", "channel"], "fee_method", specs)
+    return g.select(
         F.concat(F.col("sku"), F.lit("|"), F.col("channel")).alias("sku_channel"),
-        "sku", "channel", "fee_method", "sales", "orders", "units_sold",
-        round_money(F.col("s_rev")).alias("gross_revenue"),
-        round_money(F.col("s_fee")).alias("channel_fee_total"),
-        round_money(qdiv(F.col("s_fee"), F.col("sales"), in_type=_WIDE, out_type=dec(38, 12)))
+        "sku", "channel", "fee_method",
+        F.col("sales").cast("long").alias("sales"), F.col("orders").cast("long").alias("orders"),
+        F.col("s_qty").cast(QTY_SUM).alias("units_sold"),
+        round_money(F.col("s_revenue")).alias("gross_revenue"),
+        round_money(F.col("s_channel_fee")).alias("channel_fee_total"),
+        round_money(qdiv(F.col("s_channel_fee"), F.col("sales"), in_type=_WIDE, out_type=dec(38, 12)))
             .alias("avg_fee_per_sale"),
-        round_pct(qdiv(F.col("s_fee"), F.col("s_rev"), in_type=_WIDE)).alias("avg_fee_pct"),
-        "avg_shipping_cost", "list_discount_total")
+        round_pct(qdiv(F.col("s_channel_fee"), F.col("s_revenue"), in_type=_WIDE)).alias("avg_fee_pct"),
+        _avg_pos_out("allocated_shipping_cost").alias("avg_shipping_cost"),
+        round_money(F.col("s_list_discount")).alias("list_discount_total"))
 
 
 def sku_weighted_fee(fct_sku_channel_df: DataFrame) -> DataFrame:
