@@ -108,8 +108,8 @@ def ref_fuzzy(universe: DataFrame) -> DataFrame:
 
 def aliases_ref(aliases: DataFrame) -> DataFrame:
     """Alias key -> smallest canonical SKU."""
-    return (aliases.where(F.coalesce(F.trim("jotform_sku"), F.lit("")) != "")
-            .groupBy(key_exact(F.col("jotform_sku")).alias("k"))
+    return (aliases.where(F.coalesce(F.trim("entered_sku"), F.lit("")) != "")
+            .groupBy(key_exact(F.col("entered_sku")).alias("k"))
             .agg(F.min("canonical_sku").alias("canonical_sku")))
 
 

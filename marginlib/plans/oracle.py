@@ -323,12 +323,12 @@ ref_fuzzy AS (
   FROM sku_universe GROUP BY 1 HAVING COUNT(DISTINCT canonical_sku) = 1
 ),
 sku_aliases AS (
-  SELECT 'OLD-' || CAST(p_partkey AS VARCHAR) AS jotform_sku, 'SKU-' || CAST(p_partkey AS VARCHAR) AS canonical_sku
+  SELECT 'OLD-' || CAST(p_partkey AS VARCHAR) AS entered_sku, 'SKU-' || CAST(p_partkey AS VARCHAR) AS canonical_sku
   FROM part WHERE p_partkey % 5 = 3 AND p_partkey % 2 = 1
 ),
 aliases AS (
-  SELECT lower(trim(jotform_sku)) AS k, MIN(canonical_sku) AS canonical_sku
-  FROM sku_aliases WHERE COALESCE(trim(jotform_sku), '') <> '' GROUP BY 1
+  SELECT lower(trim(entered_sku)) AS k, MIN(canonical_sku) AS canonical_sku
+  FROM sku_aliases WHERE COALESCE(trim(entered_sku), '') <> '' GROUP BY 1
 ),
 stg_returns AS (
   SELECT p.submission_id || '|' || p.key_exact AS return_line_id,
@@ -490,7 +490,7 @@ SELECT submission_id, {ts_text('created_at')} AS created_at,
        processing_cost
 FROM raw_returns WHERE okey % 2 = 0 OR okey % 5 = 0""", extra=RETURNS_CTES)
     q["sync_state"] = W(f"""
-SELECT 'sellercloud_orders' AS source, '{now}' AS last_run_at, '{now}' AS watermark,
+SELECT 'orders' AS source, '{now}' AS last_run_at, '{now}' AS watermark,
        {ts_text('MAX(created_on)')} AS max_created_on
 FROM o_src""")
     latest_events = """
@@ -600,13 +600,13 @@ FROM stg_returns""", extra=RETURNS_CTES)
     raw_ret = "(SELECT submission_id FROM raw_returns) rr"
     raw_ord = "(SELECT order_id, 'x' AS raw FROM o_src) ro"
     parts = [
-        nn("stg_sellercloud_orders", "stg_orders", "order_id"),
-        un("stg_sellercloud_orders", "stg_orders", "order_id"),
-        nn("stg_sellercloud_order_items", "stg_items", "order_item_id"),
-        un("stg_sellercloud_order_items", "stg_items", "order_item_id"),
-        nn("stg_jotform_returns", "stg_returns", "return_line_id"),
-        un("stg_jotform_returns", "stg_returns", "return_line_id"),
-        nn("stg_jotform_returns", "stg_returns", "sku"),
+        nn("stg_orders", "stg_orders", "order_id"),
+        un("stg_orders", "stg_orders", "order_id"),
+        nn("stg_order_items", "stg_items", "order_item_id"),
+        un("stg_order_items", "stg_items", "order_item_id"),
+        nn("stg_returns", "stg_returns", "return_line_id"),
+        un("stg_returns", "stg_returns", "return_line_id"),
+        nn("stg_returns", "stg_returns", "sku"),
         nn("fct_sku_profit", "fct_sku_profit", "sku"),
         un("fct_sku_profit", "fct_sku_profit", "sku"),
         nn("fct_sku_cost_watch", "fct_sku_cost_watch", "sku"),

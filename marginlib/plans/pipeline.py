@@ -9,7 +9,7 @@ month; the marts read that table.  The cost watch only needs the last
 
 Outputs (Parquet, one folder each): int_order_items_costed,
 fct_order_item_profit, fct_sku_profit, fct_sku_profit_monthly,
-fct_sku_channel, fct_sku_cost_watch, stg_jotform_returns, dq_checks.
+fct_sku_channel, fct_sku_cost_watch, stg_returns, dq_checks.
 
     python -m marginlib.plans.pipeline --sf-dir /root/testdata/sf0.01 --out <dir>
 """
@@ -57,20 +57,20 @@ def run(spark: SparkSession, raw_orders: DataFrame, raw_catalog: DataFrame,
         # ordered_at bound is applied inside the mart
         "fct_sku_cost_watch": marts.fct_sku_cost_watch(
             lines.where(F.col(MONTH) >= since_month), catalog, as_of, window_days),
-        "stg_jotform_returns": returns.stg_returns(raw_returns, catalog, aliases),
+        "stg_returns": returns.stg_returns(raw_returns, catalog, aliases),
     }
     for name, df in tables.items():
         written[name] = write_atomic(spark, df, f"{out}/{name}")
 
     r = {n: spark.read.parquet(p) for n, p in written.items()}
     dq = checks.run_checks([
-        ("not_null", "stg_sellercloud_orders", staging.stg_orders(raw_orders), "order_id"),
-        ("unique", "stg_sellercloud_orders", staging.stg_orders(raw_orders), "order_id"),
-        ("not_null", "stg_sellercloud_order_items", r["int_order_items_costed"], "order_item_id"),
-        ("unique", "stg_sellercloud_order_items", r["int_order_items_costed"], "order_item_id"),
-        ("not_null", "stg_jotform_returns", r["stg_jotform_returns"], "return_line_id"),
-        ("unique", "stg_jotform_returns", r["stg_jotform_returns"], "return_line_id"),
-        ("not_null", "stg_jotform_returns", r["stg_jotform_returns"], "sku"),
+        ("not_null", "stg_orders", staging.stg_orders(raw_orders), "order_id"),
+        ("unique", "stg_orders", staging.stg_orders(raw_orders), "order_id"),
+        ("not_null", "stg_order_items", r["int_order_items_costed"], "order_item_id"),
+        ("unique", "stg_order_items", r["int_order_items_costed"], "order_item_id"),
+        ("not_null", "stg_returns", r["stg_returns"], "return_line_id"),
+        ("unique", "stg_returns", r["stg_returns"], "return_line_id"),
+        ("not_null", "stg_returns", r["stg_returns"], "sku"),
         ("not_null", "fct_sku_profit", r["fct_sku_profit"], "sku"),
         ("unique", "fct_sku_profit", r["fct_sku_profit"], "sku"),
         ("not_null", "fct_sku_cost_watch", r["fct_sku_cost_watch"], "sku"),

@@ -147,7 +147,7 @@ def q_sync_state(spark, sf):
     landed = inputs.raw_orders(spark, sf)
     now = F.lit(testdata.FIXTURE_NOW).cast("timestamp")
     new = landed.agg(F.max("created_on").alias("max_created_on")).select(
-        F.lit("sellercloud_orders").alias("source"), now.alias("last_run_at"),
+        F.lit("orders").alias("source"), now.alias("last_run_at"),
         now.alias("watermark"), "max_created_on", F.lit(1).cast("long").alias("seq"))
     empty = landing.empty(spark, landing.SYNC_STATE_SCHEMA)
     return present(upsert.upsert(empty, new, "source"))
@@ -309,13 +309,13 @@ def q_dq_checks(spark, sf):
     sp = marts.fct_sku_profit(costed, cat)
     cw = marts.fct_sku_cost_watch(costed, cat, testdata.AS_OF, WINDOW_DAYS)
     tests = [
-        ("not_null", "stg_sellercloud_orders", so, "order_id"),
-        ("unique", "stg_sellercloud_orders", so, "order_id"),
-        ("not_null", "stg_sellercloud_order_items", si, "order_item_id"),
-        ("unique", "stg_sellercloud_order_items", si, "order_item_id"),
-        ("not_null", "stg_jotform_returns", sr, "return_line_id"),
-        ("unique", "stg_jotform_returns", sr, "return_line_id"),
-        ("not_null", "stg_jotform_returns", sr, "sku"),
+        ("not_null", "stg_orders", so, "order_id"),
+        ("unique", "stg_orders", so, "order_id"),
+        ("not_null", "stg_order_items", si, "order_item_id"),
+        ("unique", "stg_order_items", si, "order_item_id"),
+        ("not_null", "stg_returns", sr, "return_line_id"),
+        ("unique", "stg_returns", sr, "return_line_id"),
+        ("not_null", "stg_returns", sr, "sku"),
         ("not_null", "fct_sku_profit", sp, "sku"),
         ("unique", "fct_sku_profit", sp, "sku"),
         ("not_null", "fct_sku_cost_watch", cw, "sku"),

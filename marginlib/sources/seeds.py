@@ -31,7 +31,7 @@ FEE_RULES_SCHEMA = StructType([
 ])
 
 SKU_ALIASES_SCHEMA = StructType([
-    StructField("jotform_sku", StringType()),
+    StructField("entered_sku", StringType()),
     StructField("canonical_sku", StringType()),
 ])
 
@@ -70,7 +70,7 @@ FEE_RULES_ROWS = [
     ("Other", "none", "0", "0", False),
 ]
 
-# sku_aliases (jotform_sku, canonical_sku): ships empty.
+# sku_aliases (entered_sku, canonical_sku): ships empty.
 SKU_ALIASES_ROWS: list[tuple[str, str]] = []
 # ---------------------------------------------------------------------------
 

@@ -228,5 +228,5 @@ def test_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alias table for tests: 'OLD-p' -> 'SKU-p' for odd p with p % 5 = 3."""
     p = F.col("p_partkey")
     return (table(spark, sf_dir, "part").where((p % 5 == 3) & (p % 2 == 1))
-            .select(F.concat(F.lit("OLD-"), p.cast("string")).alias("jotform_sku"),
+            .select(F.concat(F.lit("OLD-"), p.cast("string")).alias("entered_sku"),
                     _sku(p).alias("canonical_sku")))

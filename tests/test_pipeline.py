@@ -14,14 +14,14 @@ def test_pipeline_outputs_equal_queries(spark):
     written = pipeline.run_for_testdata(spark, SF, out)
     assert set(written) == {"int_order_items_costed", "fct_order_item_profit", "fct_sku_profit",
                             "fct_sku_profit_monthly", "fct_sku_channel", "fct_sku_cost_watch",
-                            "stg_jotform_returns", "dq_checks"}
+                            "stg_returns", "dq_checks"}
     for name in ["fct_sku_profit", "fct_sku_channel", "fct_sku_cost_watch", "fct_sku_profit_monthly"]:
         got = spark.read.parquet(written[name])
         assert rows(got) == rows(QUERIES[name](spark, SF)), name
     dq = {(r["check"], r["model"], r["column"]): r["failures"]
           for r in spark.read.parquet(written["dq_checks"]).collect()}
     assert dq[("unique", "fct_sku_profit", "sku")] == 0
-    assert dq[("not_null", "stg_jotform_returns", "sku")] == 0
+    assert dq[("not_null", "stg_returns", "sku")] == 0
 
 
 def test_cost_watch_reads_only_recent_months(spark):

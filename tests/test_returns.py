@@ -45,7 +45,7 @@ def test_match_tiers(spark):
         {"ProductID": "K-2-RED", "ShadowOf": "K-2"},
         {"ProductID": "---"},                                  # punctuation only
     ])
-    aliases = spark.createDataFrame([("old-9", "K-2"), (" ", "X")], "jotform_sku string, canonical_sku string")
+    aliases = spark.createDataFrame([("old-9", "K-2"), (" ", "X")], "entered_sku string, canonical_sku string")
     r = raw_returns(spark, [sub("1", "ss7000_stainless, AB1, k-2-red, OLD-9 ,ab-1,zz"),
                             sub("2", "!!")])
     out = returns.stg_returns(r, cat, aliases)
@@ -64,7 +64,7 @@ def test_match_tiers(spark):
 def test_duplicate_sku_in_submission_repeats_line_id(spark):
     r = raw_returns(spark, [sub("1", "A,a", cost=4)])
     out = returns.stg_returns(r, catalog(spark, [{"ProductID": "A"}]),
-                              spark.createDataFrame([], "jotform_sku string, canonical_sku string"))
+                              spark.createDataFrame([], "entered_sku string, canonical_sku string"))
     got = rows(out, "return_line_id", "processing_cost", "skus_in_submission")
     assert got == [("1|a", D("2.00"), 2), ("1|a", D("2.00"), 2)]
 
@@ -72,6 +72,6 @@ def test_duplicate_sku_in_submission_repeats_line_id(spark):
 def test_flags(spark):
     r = raw_returns(spark, [sub("1", "A", disposition="Warranty"), sub("2", "A", disposition="Used")])
     out = returns.stg_returns(r, catalog(spark, []),
-                              spark.createDataFrame([], "jotform_sku string, canonical_sku string"))
+                              spark.createDataFrame([], "entered_sku string, canonical_sku string"))
     got = rows(out, "submission_id", "is_warranty", "resells_as_new", "resells_as_sd", "is_scrapped")
     assert got == [("1", True, False, False, False), ("2", False, False, True, False)]
