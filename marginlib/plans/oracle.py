@@ -478,6 +478,7 @@ SELECT order_id,
        CASE WHEN created_on >= TIMESTAMP '{UPSERT_BATCH_FROM}' THEN '2001-08-03 06:00:00' ELSE '{now}' END AS extracted_at
 FROM o_src
 WHERE created_on < TIMESTAMP '{UPSERT_SNAPSHOT_BEFORE}' OR created_on >= TIMESTAMP '{UPSERT_BATCH_FROM}'""")
+    q["upsert_orders_partitioned"] = q["upsert_orders"]
     q["upsert_catalog"] = W("""
 SELECT product_id,
        CASE WHEN p_partkey % 3 = 0 THEN product_name || ' v2' ELSE product_name END AS product_name,

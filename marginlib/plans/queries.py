@@ -123,6 +123,28 @@ def q_upsert_orders(spark, sf):
     return present(r.select("order_id", "status_code", "grand_total", "created_on", "extracted_at"))
 
 
+def q_upsert_orders_partitioned(spark, sf):
+    """Same re-pull as ``upsert_orders``, into a table partitioned by the
+    month of creation: only the months the re-pull touches are rewritten."""
+    import uuid
+
+    from ..session import job_dir
+    landed = inputs.raw_orders(spark, sf).withColumns({
+        "seq": F.col("order_id"),
+        "created_month": F.date_format("created_on", "yyyy-MM")})
+    table = job_dir(spark, "marginlib", "upsert", uuid.uuid4().hex, "raw_orders")
+    first = landed.where(F.col("created_on") < F.lit(UPSERT_SNAPSHOT_BEFORE).cast("timestamp"))
+    upsert.upsert_partitioned(spark, table, first, "order_id", "created_month")
+    window = landed.where(F.col("created_on") >= F.lit(UPSERT_BATCH_FROM).cast("timestamp"))
+    edited = window.withColumns({"seq": F.col("seq") * 2 + 1,
+                                 "status_code": F.lit(UPSERT_NEW_STATUS),
+                                 "extracted_at": F.lit("2001-08-03 06:00:00").cast("timestamp")})
+    batch = edited.unionByName(window.withColumn("seq", F.col("seq") * 2))
+    upsert.upsert_partitioned(spark, table, batch, "order_id", "created_month")
+    r = spark.read.parquet(table)
+    return present(r.select("order_id", "status_code", "grand_total", "created_on", "extracted_at"))
+
+
 def q_upsert_catalog(spark, sf):
     landed = landing.land_catalog(testdata.catalog_payloads(spark, sf), testdata.FIXTURE_NOW)
     pk = F.regexp_extract("product_id", r"(\d+)$", 1).cast("long")

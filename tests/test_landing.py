@@ -90,3 +90,28 @@ def test_windows(spark):
     rr = raw_returns(spark, [{"id": "a", "created_at": "2024-08-10 00:00:00"},
                              {"id": "b", "created_at": "2024-08-11 00:00:00"}])
     assert rows(landing.returns_since(rr, "2024-08-10 00:00:00"), "submission_id") == [("b",)]
+
+
+def test_partitioned_upsert_rewrites_touched_partitions(spark):
+    import os
+    base = job_dir(spark, "test-upsert-part", str(os.getpid()) + "x")
+    t = f"{base}/table"
+    first = spark.createDataFrame(
+        [(1, "a", "2024-01", 0), (2, "b", "2024-01", 0), (3, "c", "2024-02", 0), (4, "d", "2024-03", 0)],
+        "k long, v string, month string, seq long")
+    upsert.upsert_partitioned(spark, t, first, "k", "month")
+    march = f"{t}/month=2024-03"
+    before = sorted(os.listdir(march)) if os.path.isdir(march) else None
+    # key 3 moves to 2024-01 (emptying 2024-02), key 1 changes twice, key 5 is new
+    batch = spark.createDataFrame(
+        [(1, "a1", "2024-01", 1), (1, "a2", "2024-01", 2), (3, "c1", "2024-01", 1),
+         (5, "e", "2024-04", 1)], "k long, v string, month string, seq long")
+    upsert.upsert_partitioned(spark, t, batch, "k", "month")
+    got = spark.read.parquet(t).select("k", "v", "month")
+    expect = upsert.upsert(first.drop("seq"), batch, "k")
+    assert rows(got) == rows(expect.select("k", "v", "month")) == [
+        (1, "a2", "2024-01"), (2, "b", "2024-01"), (3, "c1", "2024-01"), (4, "d", "2024-03"),
+        (5, "e", "2024-04")]
+    if before is not None:                       # untouched partition not rewritten
+        assert sorted(os.listdir(march)) == before
+    assert not os.path.isdir(f"{t}/month=2024-02")
