@@ -146,8 +146,9 @@ def q_upsert_orders_partitioned(spark, sf):
 
 
 def q_upsert_catalog(spark, sf):
-    landed = landing.land_catalog(testdata.catalog_payloads(spark, sf), testdata.FIXTURE_NOW)
+    landed = inputs.raw_catalog(spark, sf)
     pk = F.regexp_extract("product_id", r"(\d+)$", 1).cast("long")
+    landed = landed.withColumn("seq", pk)
     snapshot = landed.where(pk % 2 == 0).drop("seq")
     batch = (landed.where(pk % 3 == 0)
              .withColumn("product_name", F.concat("product_name", F.lit(" v2"))))
@@ -156,8 +157,9 @@ def q_upsert_catalog(spark, sf):
 
 
 def q_upsert_returns(spark, sf):
-    landed = landing.land_returns(testdata.return_payloads(spark, sf), testdata.FIXTURE_NOW)
+    landed = inputs.raw_returns(spark, sf)
     sk = F.regexp_extract("submission_id", r"(\d+)$", 1).cast("long")
+    landed = landed.withColumn("seq", sk)
     snapshot = landed.where(sk % 2 == 0).drop("seq")
     batch = (landed.where(sk % 5 == 0)
              .withColumn("disposition", F.lit("Used - rechecked")))
