@@ -72,6 +72,23 @@ RETURN_QIDS = {
     "processing_cost": "123",
 }
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-lines files (one document per line) -> ``value`` + arrival order.
+
+    Arrival order is (file modification time, file path, position in the
+    file), so a document re-pulled later, or later in the same file, wins
+    the upsert.  The position comes from ``monotonically_increasing_id``,
+    which increases along each file split in read order.
+    """
+    docs = (spark.read.format("text").load(path)
+            .where(F.trim("value") != "")
+            .select("value",
+                    F.col("_metadata.file_modification_time").alias("_file_time"),
+                    F.col("_metadata.file_path").alias("_file"),
+                    F.monotonically_increasing_id().alias("_pos")))
+    return docs.select("value", F.struct("_file_time", "_file", "_pos").alias("seq"))
+
+
 def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 

@@ -168,3 +168,23 @@ def test_shipping_allocation_invariant(spark):
     per = c.groupBy("order_id").agg(F.sum("allocated_shipping_cost").alias("s")).collect()
     for r in per:
         assert abs(r["s"] - D("7.77")) < D("0.000000001")
+
+
+def test_mart_invariants_on_test_data(spark):
+    from marginlib.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    c = QUERIES["int_order_items_costed"](spark, sf)
+    n_lines = c.count()
+    p = QUERIES["fct_sku_profit"](spark, sf)
+    m = QUERIES["fct_sku_profit_monthly"](spark, sf)
+    ch = QUERIES["fct_sku_channel"](spark, sf)
+    assert p.agg(F.sum("sales")).first()[0] == n_lines
+    assert m.agg(F.sum("sales")).first()[0] == n_lines
+    assert ch.agg(F.sum("sales")).first()[0] == n_lines
+    # monthly and SKU totals agree up to per-row rounding (one cent per row)
+    tot_p = p.agg(F.sum("contribution")).first()[0]
+    tot_m = m.agg(F.sum("contribution")).first()[0]
+    assert abs(tot_p - tot_m) <= D("0.005") * (m.count() + p.count())
+    units_p = p.agg(F.sum("units_sold")).first()[0]
+    units_m = m.agg(F.sum("units_sold")).first()[0]
+    assert units_p == units_m

@@ -115,3 +115,15 @@ def test_partitioned_upsert_rewrites_touched_partitions(spark):
     if before is not None:                       # untouched partition not rewritten
         assert sorted(os.listdir(march)) == before
     assert not os.path.isdir(f"{t}/month=2024-02")
+
+
+def test_documents_from_json_lines_files(spark, tmp_path):
+    import json as _json
+    d = tmp_path / "orders"
+    d.mkdir()
+    (d / "a.jsonl").write_text("\n".join(_json.dumps(x) for x in [
+        {"ID": 1, "StatusCode": 1}, {"ID": 2, "StatusCode": 1}, {"ID": 1, "StatusCode": 2}]) + "\n\n")
+    docs = landing.read_documents(spark, str(d))
+    landed = landing.land_orders(docs, NOW)
+    out = upsert.upsert(landing.empty(spark, landing.RAW_ORDERS_SCHEMA), landed, "order_id")
+    assert rows(out, "order_id", "status_code") == [(1, 2), (2, 1)]
