@@ -127,3 +127,17 @@ def test_documents_from_json_lines_files(spark, tmp_path):
     landed = landing.land_orders(docs, NOW)
     out = upsert.upsert(landing.empty(spark, landing.RAW_ORDERS_SCHEMA), landed, "order_id")
     assert rows(out, "order_id", "status_code") == [(1, 2), (2, 1)]
+
+
+def test_stream_into_partitioned_table(spark, tmp_path):
+    src = str(tmp_path / "in")
+    ev = spark.createDataFrame(
+        [(1, 1, "a", "m1", 1), (1, 2, "b", "m2", 1), (2, 1, "c", "m1", 2), (1, 0, "old", "m1", 3),
+         (3, 5, "d", "m3", 3)],
+        "user_id long, ts long, payload string, month string, part int")
+    ev.repartition("part").write.partitionBy("part").parquet(src)
+    base = job_dir(spark, "test-stream-part", tmp_path.name)
+    upsert_stream.run_upsert_stream(spark, src, ev.schema, ["user_id"], ["ts"], f"{base}/t",
+                                    f"{base}/c", partition_cols=["month"])
+    got = spark.read.parquet(f"{base}/t").select("user_id", "ts", "payload", "month")
+    assert rows(got) == [(1, 2, "b", "m2"), (2, 1, "c", "m1"), (3, 5, "d", "m3")]
