@@ -29,7 +29,7 @@ from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
 from ..functions.coerce import vtext
-from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, order_items, sku_of,
+from .staging import (STG_ITEMS_COLUMNS, item_columns, item_fields, num0, order_items, sku_of,
                       status_kept, stg_order_items, stg_orders)
 
 COSTED_EXTRA = ["order_revenue", "created_on", "order_source", "company_id", "channel",
@@ -135,9 +135,15 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     lines = (o.select("order_id", "sku_keys", *order_cols,
                       F.posexplode_outer("items").alias("pos", "item"))
               .where(F.col("pos").isNotNull()))
-    lines = lines.select(
-        "order_id", *item_columns(F.col("item")), *order_cols,
-        (F.array_position("sku_keys", _sku_key(F.col("item"))) == F.col("pos") + 1).alias(FIRST_FLAG))
+    lines = lines.select("order_id", "sku_keys", *order_cols, "pos",
+                         item_fields(F.col("item")).alias("f"))
+    lines = lines.select("order_id", *item_columns(F.col("f")), *order_cols, "pos", "sku_keys")
+    # first line of its SKU within the order: the SKU's first position in
+    # the order's SKU list is this line's position
+    lines = lines.withColumn(
+        FIRST_FLAG,
+        F.array_position("sku_keys", F.struct(F.col("sku").alias("s"))) == F.col("pos") + 1
+    ).drop("pos", "sku_keys")
     return finish_costing(lines).select(*INT_COSTED_COLUMNS, FIRST_FLAG)
 
 

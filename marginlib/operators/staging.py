@@ -85,26 +85,44 @@ def sku_of(item: Column) -> Column:
     return F.coalesce(nullif_blank(vtext(item, "$.ShadowOf")), vtext(item, "$.ProductID"))
 
 
+# One typed read per line: a VARIANT object cast to this struct matches
+# fields by name; a field that does not convert is NULL on its own.
+ITEM_STRUCT = ("struct<ID:bigint,ProductID:string,ShadowOf:string,ProductName:string,"
+               f"Qty:{_NUM},QtyReturned:{_NUM},SitePrice:{_NUM},LineTotal:{_NUM},"
+               f"AverageCost:{_NUM},FinalValueFee:{_NUM},TotalRefunded:{_NUM},"
+               "BundleItems:array<variant>>")
+
+
+def item_fields(item: Column) -> Column:
+    """The typed fields of one line (a VARIANT) as a struct."""
+    return F.try_variant_get(item, "$", ITEM_STRUCT)
+
+
 def item_columns(item: Column) -> list[Column]:
-    """P3 + P5 + F5 + F21 on one line (a VARIANT); order_id excluded."""
-    qty = num0(item, "Qty")
-    unit_cost = num(item, "AverageCost")
+    """P3 + P5 + F5 + F21 on one line (a VARIANT); order_id excluded.
+
+    ``item`` may also be the struct from ``item_fields``.
+    """
+    f = item
+    z = zero()
+    qty = F.coalesce(f["Qty"], z)
+    unit_cost = f["AverageCost"]
+    shadow = nullif_blank(f["ShadowOf"])
     return [
-        vnum(item, "$.ID", "bigint").alias("order_item_id"),
-        vtext(item, "$.ProductID").alias("source_sku"),
-        nullif_blank(vtext(item, "$.ShadowOf")).alias("parent_sku"),
-        sku_of(item).alias("sku"),
-        vtext(item, "$.ProductName").alias("product_name"),
+        f["ID"].alias("order_item_id"),
+        f["ProductID"].alias("source_sku"),
+        shadow.alias("parent_sku"),
+        F.coalesce(shadow, f["ProductID"]).alias("sku"),
+        f["ProductName"].alias("product_name"),
         qty.alias("qty"),
-        num0(item, "QtyReturned").alias("qty_returned"),
-        num(item, "SitePrice").alias("unit_price"),
-        num0(item, "LineTotal").alias("revenue"),
+        F.coalesce(f["QtyReturned"], z).alias("qty_returned"),
+        f["SitePrice"].alias("unit_price"),
+        F.coalesce(f["LineTotal"], z).alias("revenue"),
         unit_cost.alias("unit_cost"),
-        (qty * F.coalesce(unit_cost, zero())).cast(PRODUCT).alias("cogs"),
-        num0(item, "FinalValueFee").alias("marketplace_fee"),
-        num0(item, "TotalRefunded").alias("refunds"),
-        (F.coalesce(F.array_size(F.try_variant_get(item, "$.BundleItems", "array<variant>")),
-                    F.lit(0)) > 0).alias("is_bundle"),
+        (qty * F.coalesce(unit_cost, z)).cast(PRODUCT).alias("cogs"),
+        F.coalesce(f["FinalValueFee"], z).alias("marketplace_fee"),
+        F.coalesce(f["TotalRefunded"], z).alias("refunds"),
+        (F.coalesce(F.array_size(f["BundleItems"]), F.lit(0)) > 0).alias("is_bundle"),
     ]
 
 
@@ -120,29 +138,37 @@ def explode_items(df: DataFrame, *keep: str) -> DataFrame:
 
 def stg_order_items(raw_orders: DataFrame) -> DataFrame:
     """P3 + J5: one row per order line."""
-    return explode_items(raw_orders, "order_id").select("order_id", *item_columns(F.col("item")))
+    e = explode_items(raw_orders, "order_id").select("order_id", item_fields(F.col("item")).alias("f"))
+    return e.select("order_id", *item_columns(F.col("f")))
+
+
+CATALOG_STRUCT = ("struct<ShadowOf:string,ProductName:string,ActiveStatus:string,"
+                  f"IsEndOfLife:string,IsKit:string,SitePrice:{_NUM},AverageCost:{_NUM},"
+                  f"LastCost:{_NUM},BrandName:string,ProductType:string,WeightLbs:{_NUM}>")
 
 
 def stg_catalog(raw_catalog: DataFrame) -> DataFrame:
     """P4 + P5 + F11: one row per catalog product."""
-    d = F.col("raw")
-    shadow = nullif_blank(vtext(d, "$.ShadowOf"))
-    last_cost = num(d, "LastCost")
-    avg_json = num(d, "AverageCost")
-    return raw_catalog.select(
+    c = raw_catalog.select("product_id", "product_name", "average_cost",
+                           F.try_variant_get("raw", "$", CATALOG_STRUCT).alias("d"))
+    d = F.col("d")
+    shadow = nullif_blank(d["ShadowOf"])
+    last_cost = d["LastCost"]
+    avg_json = d["AverageCost"]
+    return c.select(
         F.col("product_id").alias("sku"),
         F.coalesce(shadow, F.col("product_id")).alias("canonical_sku"),
         shadow.alias("parent_sku"),
-        F.coalesce("product_name", vtext(d, "$.ProductName")).alias("product_name"),
-        vtext(d, "$.ActiveStatus").alias("active_status"),
-        (vtext(d, "$.ActiveStatus") == "Active").alias("is_active"),
-        to_bool(vtext(d, "$.IsEndOfLife")).alias("is_end_of_life"),
-        to_bool(vtext(d, "$.IsKit")).alias("is_kit"),
-        num(d, "SitePrice").alias("msrp"),
+        F.coalesce("product_name", d["ProductName"]).alias("product_name"),
+        d["ActiveStatus"].alias("active_status"),
+        (d["ActiveStatus"] == "Active").alias("is_active"),
+        to_bool(d["IsEndOfLife"]).alias("is_end_of_life"),
+        to_bool(d["IsKit"]).alias("is_kit"),
+        d["SitePrice"].alias("msrp"),
         F.coalesce(F.col("average_cost").cast(NUM), avg_json).alias("average_cost"),
         last_cost.alias("last_cost"),
         F.coalesce(F.when(last_cost != 0, last_cost), avg_json).alias("current_cost"),
-        vtext(d, "$.BrandName").alias("brand"),
-        vtext(d, "$.ProductType").alias("product_type"),
-        num(d, "WeightLbs").alias("weight_lbs"),
+        d["BrandName"].alias("brand"),
+        d["ProductType"].alias("product_type"),
+        d["WeightLbs"].alias("weight_lbs"),
     )
