@@ -22,7 +22,7 @@ from ..session import apply_conf, job_dir
 from ..sources import landing, seeds, testdata
 
 # Bump when the fixture or landing logic changes.
-LANDING_VERSION = "5"
+LANDING_VERSION = "6"
 _SOURCES = {"raw_orders": ["orders", "lineitem", "part"],
             "raw_catalog": ["part"],
             "raw_returns": ["orders", "lineitem"]}
@@ -52,7 +52,18 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     fp, fs = _fs(spark, final)
     if not fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fp, "_SUCCESS")):
         tmp = f"{base}/_tmp-{name}-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").parquet(tmp)
+        # Documents are stored as whole VARIANT values: the models read whole
+        # line arrays, and re-assembling shredded values on read costs more
+        # than it saves.
+        prev = spark.conf.get("spark.sql.variant.writeShredding.enabled", None)
+        spark.conf.set("spark.sql.variant.writeShredding.enabled", "false")
+        try:
+            build().write.mode("overwrite").parquet(tmp)
+        finally:
+            if prev is None:
+                spark.conf.unset("spark.sql.variant.writeShredding.enabled")
+            else:
+                spark.conf.set("spark.sql.variant.writeShredding.enabled", prev)
         tp, _ = _fs(spark, tmp)
         if not fs.rename(tp, fp):          # another run finished first
             fs.delete(tp, True)
