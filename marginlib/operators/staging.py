@@ -126,6 +126,29 @@ def item_columns(item: Column) -> list[Column]:
     ]
 
 
+ITEM_NUMERIC_FIELDS = ["ID", "Qty", "QtyReturned", "SitePrice", "LineTotal", "AverageCost",
+                       "FinalValueFee", "TotalRefunded"]
+
+
+def malformed_line_numbers(raw_orders: DataFrame) -> DataFrame:
+    """Q13: count of line values present in the document (not missing, not
+    JSON null) that did not convert to a number, per field, as rows of
+    ``check, model, column, failures``.  Staging turns them into NULL so the
+    job does not fail; this makes them visible."""
+    e = explode_items(raw_orders).select("item", item_fields(F.col("item")).alias("f"))
+
+    def bad(field: str) -> Column:
+        v = F.try_variant_get("item", f"$.{field}", "variant")
+        present = v.isNotNull() & ~F.is_variant_null(v)
+        return F.count(F.when(present & F.col("f")[field].isNull(), 1)).cast("long")
+
+    agg = e.agg(*[bad(f).alias(f) for f in ITEM_NUMERIC_FIELDS])
+    stack = ", ".join(f"'{f}', `{f}`" for f in ITEM_NUMERIC_FIELDS)
+    return agg.selectExpr(f"stack({len(ITEM_NUMERIC_FIELDS)}, {stack}) as (column, failures)") \
+        .select(F.lit("malformed_number").alias("check"), F.lit("stg_order_items").alias("model"),
+                "column", "failures")
+
+
 def explode_items(df: DataFrame, *keep: str) -> DataFrame:
     """One row per element of ``Items`` (orders without an array vanish).
 

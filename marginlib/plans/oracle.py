@@ -627,6 +627,18 @@ FROM stg_returns""", extra=RETURNS_CTES)
     q["dq_unique"] = W(f"SELECT * FROM {dq_all} d WHERE \"check\" = 'unique' "
                        "AND NOT starts_with(model, 'raw_')", extra=full)
     q["dq_landed"] = W(f"SELECT * FROM {dq_all} d WHERE starts_with(model, 'raw_')", extra=full)
+    # Line values present in the source that do not convert to a number.
+    src_cols = {"ID": "order_item_id", "Qty": "l_quantity",
+                "QtyReturned": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
+                "SitePrice": "p_retailprice", "LineTotal": "line_total",
+                "AverageCost": "p_retailprice", "FinalValueFee": "l_extendedprice",
+                "TotalRefunded": "line_total"}
+    mal = "\nUNION ALL\n".join(
+        f"SELECT 'malformed_number' AS \"check\", 'stg_order_items' AS model, '{f}' AS \"column\", "
+        f"CAST(COUNT(*) FILTER (WHERE v IS NOT NULL AND TRY_CAST(v AS DECIMAL(18,4)) IS NULL) AS BIGINT) "
+        f"AS failures FROM (SELECT CAST({c} AS VARCHAR) AS v FROM li_ids) x"
+        for f, c in src_cols.items())
+    q["dq_malformed"] = W(mal, extra="li_ids AS (SELECT li.*, l_orderkey * 100 + rn AS order_item_id FROM li)")
     q["int_order_items_costed_dropped"] = W(
         f"SELECT {costed_sel} FROM costed WHERE order_id IN (SELECT order_id FROM stg_orders)",
         excluded=EXCLUDED_CODES)

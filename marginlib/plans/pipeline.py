@@ -75,7 +75,7 @@ def run(spark: SparkSession, raw_orders: DataFrame, raw_catalog: DataFrame,
         ("unique", "fct_sku_profit", r["fct_sku_profit"], "sku"),
         ("not_null", "fct_sku_cost_watch", r["fct_sku_cost_watch"], "sku"),
         ("unique", "fct_sku_cost_watch", r["fct_sku_cost_watch"], "sku"),
-    ])
+    ]).unionByName(staging.malformed_line_numbers(raw_orders))
     written["dq_checks"] = write_atomic(spark, dq, f"{out}/dq_checks")
     return written
 

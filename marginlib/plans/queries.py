@@ -369,6 +369,10 @@ def q_dq_landed(spark, sf):
     return q_dq_checks(spark, sf).where(F.col("model").startswith("raw_"))
 
 
+def q_dq_malformed(spark, sf):
+    return staging.malformed_line_numbers(inputs.raw_orders(spark, sf))
+
+
 def q_int_order_items_costed_dropped(spark, sf):
     c = costing.costed_lines(inputs.raw_orders(spark, sf), inputs.channel_map(spark),
                              inputs.fee_rules(spark), EXCLUDED_CODES, drop_excluded_lines=True)

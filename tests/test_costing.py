@@ -188,3 +188,12 @@ def test_mart_invariants_on_test_data(spark):
     units_p = p.agg(F.sum("units_sold")).first()[0]
     units_m = m.agg(F.sum("units_sold")).first()[0]
     assert units_p == units_m
+
+
+def test_malformed_numbers_are_counted(spark):
+    docs = [order(1, [item(11, "A", "12,x", qty="abc", cost="$"), item(12, "B", 3, qty=None)])]
+    docs[0]["Items"][1]["Qty"] = None          # JSON null is not malformed
+    got = {r["column"]: r["failures"]
+           for r in staging.malformed_line_numbers(raw_orders(spark, docs)).collect()}
+    assert got["LineTotal"] == 1 and got["Qty"] == 1 and got["AverageCost"] == 1
+    assert got["FinalValueFee"] == 0 and got["ID"] == 0
