@@ -34,7 +34,8 @@ def latest_stream(stream: DataFrame, keys: Sequence[str], seq: Sequence[str]) ->
 def run_upsert_stream(spark: SparkSession, source_dir: str, schema, keys: Sequence[str],
                       seq: Sequence[str], table_dir: str, checkpoint: str,
                       max_files_per_trigger: int = 1,
-                      partition_cols: Sequence[str] | None = None) -> str:
+                      partition_cols: Sequence[str] | None = None,
+                      state_partitions: int | None = None) -> str:
     """Drain ``source_dir`` into the table at ``table_dir``; returns it.
 
     Without ``partition_cols`` each micro-batch writes a new snapshot
@@ -42,6 +43,10 @@ def run_upsert_stream(spark: SparkSession, source_dir: str, schema, keys: Sequen
     micro-batch rewrites only the partitions its changed keys touch
     (``upsert.upsert_partitioned``); the rows emitted by the state store are
     already the latest per key, so the batch id serves as their sequence.
+
+    ``state_partitions`` sets the number of state-store partitions (fixed
+    by the checkpoint at the first start; Spark takes it from
+    ``spark.sql.shuffle.partitions``, which is restored afterwards).
     """
     src = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -60,12 +65,18 @@ def run_upsert_stream(spark: SparkSession, source_dir: str, schema, keys: Sequen
         new = snap.join(changed.select(*keys), list(keys), "left_anti").unionByName(changed)
         upsert.write_snapshot(spark, new, table_dir, version=batch_id + 1)
 
-    q = (latest.writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(merge_partitioned if partition_cols else merge)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (latest.writeStream.outputMode("update")
+             .option("checkpointLocation", checkpoint)
+             .foreachBatch(merge_partitioned if partition_cols else merge)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     return table_dir
 
 
@@ -79,7 +90,9 @@ def events_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     (ev.withColumn("week", F.date_format(wk, "yyyy-MM-dd"))
        .repartition("week").write.partitionBy("week").parquet(f"{run}/incoming"))
     schema = ev.schema.add("week", "string")
+    # One state partition per core: the state is one row per user.
     table = run_upsert_stream(spark, f"{run}/incoming", schema, ["user_id"], ["ts", "event_id"],
-                              f"{run}/table", f"{run}/checkpoint")
+                              f"{run}/table", f"{run}/checkpoint",
+                              state_partitions=spark.sparkContext.defaultParallelism)
     snap = upsert.read_snapshot(spark, table, None)
     return snap.select("user_id", "event_id", "ts", "event_type", "value")
