@@ -43,11 +43,6 @@ def to_num(v: Column, dtype: DataType = DecimalType(18, 4)) -> Column:
     return F.when(cleaned != "", cleaned.try_cast(dtype))
 
 
-def to_text(v: Column) -> Column:
-    """Answers that are objects/lists are kept as their JSON text."""
-    return v.cast("string")
-
-
 def parse_ts(v: Column) -> Column:
     """ISO-8601 text to TIMESTAMP, ``Z`` meaning UTC; anything else NULL.
 

@@ -38,10 +38,6 @@ def dec(p: int, s: int) -> DecimalType:
     return DecimalType(p, s)
 
 
-def lit_dec(value: str, p: int, s: int) -> Column:
-    return F.lit(value).cast(DecimalType(p, s))
-
-
 def zero(t: DecimalType = NUM) -> Column:
     return F.lit(0).cast(t)
 

@@ -179,7 +179,8 @@ def q_sync_state(spark, sf):
 
 def q_upsert_events_latest(spark, sf):
     ev = testdata.table(spark, sf, "events")
-    empty = ev.select("user_id", "event_id", "ts", "event_type", "value").limit(0)
+    cols = ["user_id", "event_id", "ts", "event_type", "value"]
+    empty = spark.createDataFrame([], ev.select(*cols).schema)   # first run: no snapshot yet
     r = upsert.upsert(empty, ev, "user_id", seq=["ts", "event_id"])
     return present(r)
 

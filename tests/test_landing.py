@@ -4,7 +4,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from helpers import NOW, payloads, raw_catalog, raw_returns, rows
+from helpers import NOW, payloads, raw_returns, rows
 from marginlib.operators import checks, upsert
 from marginlib.session import job_dir
 from marginlib.sources import landing
