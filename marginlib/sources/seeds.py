@@ -121,7 +121,9 @@ def prepared_channel_lookups(channel_map_df: DataFrame) -> tuple[DataFrame, Data
     a seed lists a key twice, the smallest channel name is kept so the
     result does not depend on row order.
     """
-    m = channel_map_df.select(
+    # Seeds are tiny: one partition satisfies the grouping below, so the
+    # dedup runs without a shuffle.
+    m = channel_map_df.coalesce(1).select(
         "order_source",
         F.when(F.trim("company_id") != "", F.trim("company_id")).alias("company_id"),
         "channel")
@@ -135,8 +137,9 @@ def prepared_channel_lookups(channel_map_df: DataFrame) -> tuple[DataFrame, Data
 
 
 def prepared_fee_rules(fee_rules_df: DataFrame) -> DataFrame:
-    """One rule per channel; NULL pct / flat fee mean 0."""
-    return (fee_rules_df
+    """One rule per channel; NULL pct / flat fee mean 0 (no shuffle: one
+    partition)."""
+    return (fee_rules_df.coalesce(1)
             .groupBy("channel")
             .agg(F.min_by(F.struct(
                      "fee_method",
