@@ -92,8 +92,9 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cluster", action="store_true", help="use the cluster-scale settings")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, cluster=a.cluster)
     for name, path in run_for_testdata(spark, a.sf_dir, a.out).items():
         print(name, path)
 

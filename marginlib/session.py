@@ -26,6 +26,23 @@ PERF_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB of landed
+# documents).  Shuffle partition count is set high and AQE coalesces it to
+# the advisory size at run time; file splits and shuffle partitions are
+# sized to ~256 MB so a task's data fits comfortably in executor memory;
+# streaming state (one row per key) lives in RocksDB instead of the JVM
+# heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the result-affecting settings to an existing session."""
     for k, v in RESULT_CONF.items():
@@ -36,13 +53,14 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, app: str = "marginlib",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with this package's settings."""
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Create (or reuse) a session with this package's settings
+    (``cluster=True`` adds ``CLUSTER_CONF``)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = {**RESULT_CONF, **PERF_CONF, "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false"}
+    conf = {**RESULT_CONF, **PERF_CONF, **(CLUSTER_CONF if cluster else {}),
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
