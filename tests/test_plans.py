@@ -33,3 +33,19 @@ def test_json_parsed_once_per_order(spark):
     ro = raw_orders(spark, [order(1, [item(11, "A", 10)])])
     c = costing.costed_lines(ro, seeds.channel_map(spark), seeds.fee_rules(spark))
     assert "from_json(" not in _plan(c)   # landed documents are VARIANT: no text parsing
+
+
+def test_hot_sku_is_pre_aggregated_per_task(spark):
+    # one SKU carries a third of all lines
+    docs = [order(i, [item(i * 10 + 1, "HOT", 3), item(i * 10 + 2, f"S{i % 7}", 2),
+                      item(i * 10 + 3, f"T{i % 11}", 1)]) for i in range(1, 301)]
+    ro = raw_orders(spark, docs).repartition(6)
+    c = costing.costed_lines(ro, seeds.channel_map(spark), seeds.fee_rules(spark))
+    p = marts.fct_sku_profit(c, staging.stg_catalog(raw_catalog(spark, [])))
+    got = {r["sku"]: r for r in p.collect()}
+    assert got["HOT"]["sales"] == 300 and got["HOT"]["orders"] == 300
+    assert str(got["HOT"]["gross_revenue"]) == "900.00"
+    plan = _plan(p)
+    # partial aggregation runs before every exchange of the mart
+    assert "partial_sum" in plan and "partial_count" in plan
+    assert "collect_list" not in plan and "collect_set" not in plan
