@@ -250,7 +250,9 @@ def q_channel_fee(spark, sf):
 # --- marts --------------------------------------------------------------------
 
 def q_fct_order_item_profit(spark, sf):
-    return present(marts.fct_order_item_profit(_costed(spark, sf)))
+    return present(marts.fct_order_item_profit(_costed(spark, sf)),
+                   {"gross_profit": "decimal(24,8)", "net_revenue": "decimal(19,4)",
+                    "channel_fee": "decimal(26,12)"})
 
 
 def q_fct_sku_profit(spark, sf):
