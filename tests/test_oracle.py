@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
-from compare import duck, row_hash  # noqa: E402
+from compare import duck, row_hash, type_diffs  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SQL = E.oracle_sql()
@@ -36,6 +36,7 @@ def test_matches_oracle(spark, con, name):
     drows = r.fetchall()
     dcols = [d[0] for d in r.description]
     assert sorted(df.columns) == sorted(dcols)
+    assert not type_diffs(df, r.description)
     assert len(srows) == len(drows)
     hs, ls = row_hash(srows, df.columns)
     hd, ld = row_hash(drows, dcols)
