@@ -197,3 +197,33 @@ def test_malformed_numbers_are_counted(spark):
            for r in staging.malformed_line_numbers(raw_orders(spark, docs)).collect()}
     assert got["LineTotal"] == 1 and got["Qty"] == 1 and got["AverageCost"] == 1
     assert got["FinalValueFee"] == 0 and got["ID"] == 0
+
+
+def test_wholesale_lines_still_bear_shipping(spark):
+    # Home Depot pays shipping per the rules, but the flag is not used (Q5)
+    docs = [order(1, [item(11, "A", 90, qty=1, price=100)], source=72, ship=6)]
+    r = costed(spark, docs).collect()[0]
+    assert r["channel"] == "Home Depot" and r["channel_pays_shipping"] is True
+    assert r["allocated_shipping_cost"] == D(6) and r["list_discount"] == D(10)
+    # list discount is analytical only: contribution = 90 - 0 - 0 - 0 - 6
+    assert r["contribution"] == D(84)
+
+
+def test_cost_watch_rounding_order(spark):
+    # window contribution 10/3 per unit: per-unit actual uses the unrounded
+    # total, the at-current-cost figures use already rounded inputs (Q8)
+    cat = staging.stg_catalog(raw_catalog(spark, [{"ProductID": "A", "LastCost": "1.005"}]))
+    docs = [order(1, [item(11, "A", "10.00", qty=3, cost="1.00")], source=0, ship=0,
+                  created="2024-08-01T00:00:00Z")]
+    r = marts.fct_sku_cost_watch(costed(spark, docs), cat, "2024-08-02", 90).collect()[0]
+    assert r["contribution_window"] == D("7.00")
+    assert r["contribution_per_unit_actual"] == D("2.33")      # 7 / 3
+    assert r["avg_selling_price"] == D("3.33") and r["current_unit_cost"] == D("1.01")
+    assert r["contribution_per_unit_at_current_cost"] == D("2.32")   # 3.33 - 1.01 - 0
+    assert r["margin_pct_at_current_cost"] == D("0.6967")            # 2.32 / 3.33
+
+
+def test_text_max_is_byte_order(spark):
+    docs = [order(1, [item(11, "A", 1, name="apple")]), order(2, [item(21, "A", 1, name="Banana")])]
+    p = marts.fct_sku_profit(costed(spark, docs), staging.stg_catalog(raw_catalog(spark, [])))
+    assert p.collect()[0]["product_name"] == "apple"      # 'a' (0x61) > 'B' (0x42)
