@@ -168,13 +168,9 @@ def q_upsert_returns(spark, sf):
 
 
 def q_sync_state(spark, sf):
-    landed = inputs.raw_orders(spark, sf)
-    now = F.lit(testdata.FIXTURE_NOW).cast("timestamp")
-    new = landed.agg(F.max("created_on").alias("max_created_on")).select(
-        F.lit("orders").alias("source"), now.alias("last_run_at"),
-        now.alias("watermark"), "max_created_on", F.lit(1).cast("long").alias("seq"))
+    state = landing.sync_state(inputs.raw_orders(spark, sf), "orders", testdata.FIXTURE_NOW)
     empty = landing.empty(spark, landing.SYNC_STATE_SCHEMA)
-    return present(upsert.upsert(empty, new, "source"))
+    return present(upsert.upsert(empty, state.withColumn("seq", F.lit(1)), "source"))
 
 
 def q_upsert_events_latest(spark, sf):

@@ -180,6 +180,20 @@ def returns_since(raw_returns: DataFrame, since=None) -> DataFrame:
     return raw_returns.where(F.col("created_at") > _ts(since))
 
 
+def sync_state(landed: DataFrame, source: str, run_at, ts_col: str = "created_on") -> DataFrame:
+    """The state row a landing run records for ``source``.
+
+    ``watermark`` is the run time, as the landing jobs record it (nothing
+    reads it back); ``max_created_on`` adds the newest landed timestamp,
+    which is what a watermark is usually meant to hold.  Upsert it on
+    ``source`` into the state table.
+    """
+    now = _ts(run_at)
+    return landed.agg(F.max(ts_col).alias("max_created_on")).select(
+        F.lit(source).alias("source"), now.alias("last_run_at"), now.alias("watermark"),
+        "max_created_on")
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty landed table (first run, no snapshot yet)."""
     return spark.createDataFrame([], schema)

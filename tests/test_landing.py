@@ -141,3 +141,16 @@ def test_stream_into_partitioned_table(spark, tmp_path):
                                     f"{base}/c", partition_cols=["month"])
     got = spark.read.parquet(f"{base}/t").select("user_id", "ts", "payload", "month")
     assert rows(got) == [(1, 2, "b", "m2"), (2, 1, "c", "m1"), (3, 5, "d", "m3")]
+
+
+def test_sync_state_row(spark):
+    docs = [{"ID": 1, "CreatedOn": "2024-08-01T00:00:00Z"}, {"ID": 2, "CreatedOn": "2024-08-05T00:00:00Z"}]
+    ro = landing.land_orders(payloads(spark, docs), NOW)
+    st = landing.sync_state(ro, "orders", "2024-09-01 00:00:00")
+    old = spark.createDataFrame([("orders", None, None, None), ("returns", None, None, None)],
+                                landing.SYNC_STATE_SCHEMA)
+    out = upsert.upsert(old, st.withColumn("seq", F.lit(1)), "source")
+    got = {r["source"]: r for r in out.collect()}
+    assert got["orders"]["watermark"] == dt.datetime(2024, 9, 1)
+    assert got["orders"]["max_created_on"] == dt.datetime(2024, 8, 5)
+    assert got["returns"]["watermark"] is None
