@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
-from ..functions.coerce import vtext
-from .staging import (STG_ITEMS_COLUMNS, item_columns, item_fields, num0, order_items, sku_of,
+from ..functions.coerce import nullif_blank, vtext
+from .staging import (STG_ITEMS_COLUMNS, item_columns, item_fields, num0, order_items,
                       status_kept, stg_order_items, stg_orders)
 
 COSTED_EXTRA = ["order_revenue", "created_on", "order_source", "company_id", "channel",
@@ -76,9 +76,10 @@ def finish_costing(df: DataFrame) -> DataFrame:
     })
 
 
-def _sku_key(item: Column) -> Column:
-    """Struct holding the line's canonical SKU (NULL-safe equality in arrays)."""
-    return F.struct(sku_of(item).alias("s"))
+def _sku_key(f: Column) -> Column:
+    """Struct holding a typed line's canonical SKU (NULL-safe equality in
+    arrays); the same rule as the ``sku`` column of ``item_columns``."""
+    return F.struct(F.coalesce(nullif_blank(f["ShadowOf"]), f["ProductID"]).alias("s"))
 
 
 def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataFrame,
@@ -105,13 +106,14 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
         status_kept(excluded_status_codes).alias("kept"),
         vtext(doc, "$.CompanyID").alias("doc_company_id"),
         num0(doc, "FinalShippingFee").alias("doc_shipping"),
-        order_items(doc).alias("items"))
+        # each line converted from VARIANT to its typed struct exactly once
+        F.transform(order_items(doc), item_fields).alias("items"))
     if drop_excluded_lines:
         o = o.where(F.col("kept"))
     o = o.withColumns({
         "order_revenue": F.aggregate(
             "items", zero(ORDER_SUM),
-            lambda acc, x: (acc + num0(x, "LineTotal")).cast(ORDER_SUM)),
+            lambda acc, x: (acc + F.coalesce(x["LineTotal"], zero())).cast(ORDER_SUM)),
         "sku_keys": F.transform("items", _sku_key),
     })
     o = (o.join(F.broadcast(specific),
@@ -133,10 +135,8 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     # The outer variant plus a filter on the generated position keeps the
     # optimizer from inferring a non-empty-array filter on the scan side.
     lines = (o.select("order_id", "sku_keys", *order_cols,
-                      F.posexplode_outer("items").alias("pos", "item"))
+                      F.posexplode_outer("items").alias("pos", "f"))
               .where(F.col("pos").isNotNull()))
-    lines = lines.select("order_id", "sku_keys", *order_cols, "pos",
-                         item_fields(F.col("item")).alias("f"))
     lines = lines.select("order_id", *item_columns(F.col("f")), *order_cols, "pos", "sku_keys")
     # first line of its SKU within the order: the SKU's first position in
     # the order's SKU list is this line's position
