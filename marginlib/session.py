@@ -71,18 +71,27 @@ def build_session(master: str | None = None, app: str = "marginlib",
     return spark
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and job-written tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset, as in local tests, do we pick a
-    scratch folder and record it in the session.
+    file system).  Where it is unset, a local master (one machine, as in
+    tests) gets a scratch folder per application; any other master is an
+    error, since a machine-local folder is not seen by the other executors.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="marginlib-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
+        master = sc.master
+        if not (master.startswith("local[") or master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master is {master})")
+        d = _LOCAL_SCRATCH.get(sc.applicationId)
+        if d is None:
+            d = _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="marginlib-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
