@@ -20,7 +20,7 @@ import base64
 import functools
 import gc
 import hashlib
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from marginlib.llm.common import map_batches, texts
 
-CACHED_PIECES = 600_000     # per Python worker; cleared when full, which costs time only
+CACHED_PIECES = 1_000_000   # per Python worker; when full, those of the present batch stay
 CACHED_PAIRS = 2_000_000
 CACHED_CHARS = 48           # longer pieces are encoded each time
 
@@ -232,17 +232,20 @@ class Encoder:
         words = set(chain.from_iterable(p[1:] for p in parts))
         new = words.difference(known)
         if len(known) + len(new) > CACHED_PIECES:
-            known.clear()
-            new = words
+            known = self.after_space = {w: known[w] for w in words if w in known}
         self._learn(new)
         out = []
-        for text, (first, *rest) in zip(texts, parts, strict=True):
-            ends_well = first and not first[-1].isspace()
-            each = [known[w] for w in rest]
-            if rest and (not ends_well or None in each):
+        for text, part in zip(texts, parts, strict=True):
+            first = part[0]
+            if len(part) > 1 and (not first or first[-1].isspace()):
                 out.append(list(self._pieces(text)))
-            else:
-                out.append([*self._pieces(first), *chain.from_iterable(each)])
+                continue
+            ids = list(self._pieces(first))
+            try:
+                ids.extend(chain.from_iterable(map(known.__getitem__, islice(part, 1, None))))
+            except TypeError:                       # None: a piece may cross spaces
+                ids = list(self._pieces(text))
+            out.append(ids)
         for w in new:
             if len(w) > CACHED_CHARS:
                 known.pop(w, None)

@@ -43,7 +43,7 @@ _GAP = None                     # stands between parts of a document that aren't
 def words(text: str | Column) -> Column:
     """Hashes of a text's words: runs of letters and digits, lower case."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(F.array_remove(parts, ""), F.xxhash64)
+    return F.transform(F.array_remove(parts, ""), lambda w: F.xxhash64(w))
 
 
 def tile(item: list, doc: list, least: int) -> list[tuple[int, int, int]]:
