@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marginlib.session import shared_dir
 
@@ -61,3 +63,28 @@ def slices(batch: pa.RecordBatch, bytes_most: int = 8 << 20) -> Iterator[pa.Reco
     step = max(1, min(n, int(n * bytes_most / max(1, batch.nbytes)))) if n else 1
     for i in range(0, n, step):
         yield batch.slice(i, step)
+
+
+def _spots(values: np.ndarray, bits: int) -> np.ndarray:
+    """A number below 2**bits for each long; `id_bits` has the same in SQL."""
+    return ((values ^ (values >> 17) ^ (values >> 34)) & ((1 << bits) - 1)).astype(np.int64)
+
+
+def id_bits(ids: DataFrame, bits: int) -> np.ndarray:
+    """A bit set of 2**bits bits (a fixed size) with a bit for each long in the
+    first column; made by aggregation, so that no ids reach the driver."""
+    v = F.col(ids.columns[0])
+    spot = (v.bitwiseXOR(F.shiftright(v, 17)).bitwiseXOR(F.shiftright(v, 34))).bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    rows = (ids.where(v.isNotNull()).select(spot.alias("spot"))
+            .groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect())
+    out = np.zeros(max(1 << (bits - 3), 4096), np.uint8)
+    for r in rows:          # numbers and buckets count from 1; a bucket has 4 KB
+        out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def in_bits(held: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bit of each value is set; false only for values not in the set."""
+    at = _spots(values, bits)
+    return ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.bool_)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginlib.llm.common import map_batches, stored, texts
+from marginlib.llm.common import id_bits, in_bits, map_batches, stored, texts
 from marginlib.llm.components import components
 
 SHARED = 4              # shingles at least that two linkable classes share within their prefixes
@@ -407,25 +407,16 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc, text) of the rows of ``docs`` whose doc_id is in ``ids`` (column doc).
 
-    A bit set of fixed size over hashed ids keeps most other texts out of the
+    A bit set of fixed size over ids keeps most other texts out of the
     shuffle; the join behind it is exact.
     """
-    spot = F.pmod(F.xxhash64("doc"), F.lit(1 << BIT_SET))
-    marked = (ids.select((spot + 1).alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect())
-    bits = np.zeros(1 << (BIT_SET - 3), np.uint8)
-    for r in marked:        # 2**BIT_SET bits at most; numbers and buckets count from 1, a bucket has 4 KB
-        part = np.frombuffer(bytes(r.bits), np.uint8)
-        bits[(r.bucket - 1) * 4096:(r.bucket - 1) * 4096 + len(part)] = part[:len(bits) - (r.bucket - 1) * 4096]
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-    rows = docs.select(F.col("doc_id").alias("doc"), "text").withColumn("spot", spot)
+    sent = docs.sparkSession.sparkContext.broadcast(id_bits(ids.select("doc"), BIT_SET))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            keep = (sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            yield batch.select([0, 1]).filter(pa.array(keep.astype(np.bool_)))
+            yield batch.filter(pa.array(in_bits(sent.value, batch.column(0).to_numpy(), BIT_SET)))
 
+    rows = docs.select(F.col("doc_id").alias("doc"), "text")
     return rows.mapInArrow(run, "doc long, text string").join(ids.distinct(), "doc", "left_semi")
 
 

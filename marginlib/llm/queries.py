@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginlib.llm import (bpe, chat, decontaminate, jaccard, language, oracle, quality, secrets,
-                           toxicity, unigram)
+                           suffix_dedup, toxicity, unigram)
 from marginlib.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op5_toxicity,
+    f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_suffix_dedup, op5_toxicity,
                             op6_jaccard_join, op7_chat_format, op8_secret_scan, op9_language_id,
                             op10_byte_bpe, pipeline)
 }
