@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -296,7 +297,7 @@ class _Union:
         return x != y
 
 
-def _families(docs: list, comps: list, sizes: list, ts: list, prefixes: list, pct: int):
+def _families(docs, comps, sizes, ts, prefixes, pct: int):
     """Links (x, y) that join into one family all records whose prefixes share t
     shingles, as a spanning forest: a record that is already joined to all
     others is not searched for."""
@@ -341,6 +342,15 @@ def _links(left: list[tuple], right: list[tuple] | None, pct: int):
                 yield doc, records[j][0]
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """((key, low, high), doc, comp, n, t, prefix) of each row."""
+    *columns, prefixes = batch.columns
+    key, low, high, doc, comp, n, t = (c.to_pylist() for c in columns)
+    offsets, values = prefixes.offsets.to_pylist(), prefixes.values.to_numpy()
+    for i in range(batch.num_rows):
+        yield (key[i], low[i], high[i]), doc[i], comp[i], n[i], t[i], values[offsets[i]:offsets[i + 1]]
+
+
 def _between(rows: DataFrame) -> DataFrame:
     """Keys of ``rows`` (key, comp) that occur in two components or more."""
     return (rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
@@ -377,12 +387,20 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
     lists = named.select("doc", "comp", F.explode(F.slice("prefix", F.lit(1), first)).alias("key"))
     dealt = _dealt(lists.select("key", "doc"), _between(lists.select("key", "comp"))).join(named, "doc")
 
-    def join_families(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        pairs = _families(frame.doc.tolist(), frame.comp.tolist(), frame.n.tolist(), frame.t.tolist(),
-                          list(frame.prefix), pct)
-        return pd.DataFrame(list(pairs), columns=["a", "b"])
+    keys = ["key", "low", "high"]
+
+    def join_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in _rows(b))
+        for _, group in itertools.groupby(rows, key=lambda r: r[0]):
+            _, docs_, comps_, sizes, ts, prefixes = zip(*group, strict=True)
+            pairs = list(_families(docs_, comps_, sizes, ts, prefixes, pct))
+            if pairs:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["a", "b"])
 
-    joined = dealt.groupBy("key", "low", "high").applyInPandas(join_families, "a long, b long").distinct()
+    # Most groups have two or three records: they follow each other in a sorted
+    # stream, which costs far less than a call for each.
+    joined = (dealt.select(*keys, "doc", "comp", "n", "t", "prefix").repartition(*keys)
+              .sortWithinPartitions(*keys).mapInArrow(join_families, "a long, b long").distinct())
     own = named.select(F.col("doc").alias("a"), F.col("comp").alias("b"))
     families = stored(components(joined.union(own)).withColumnsRenamed({"node": "doc", "component": "key"}))
     members = (named.select("doc", "comp").join(families, "doc"))
