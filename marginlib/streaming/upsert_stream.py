@@ -60,7 +60,8 @@ def run_upsert_stream(spark: SparkSession, source_dir: str, schema, keys: Sequen
                                   seq="_batch")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        snap = upsert.read_snapshot(spark, table_dir, batch.schema)
+        # A replayed batch starts from the version before it, as the first time.
+        snap = upsert.read_snapshot(spark, table_dir, batch.schema, before=batch_id + 1)
         changed = batch.select(*cols)
         new = snap.join(changed.select(*keys), list(keys), "left_anti").unionByName(changed)
         upsert.write_snapshot(spark, new, table_dir, version=batch_id + 1)
