@@ -49,7 +49,7 @@ def _grouped(df: DataFrame, keys: list[str], text_col: str, specs: list[tuple],
     every other aggregate decomposes) lines are first hash-aggregated by
     (keys, text) and only that result is aggregated by ``keys`` with the
     text ``max``.  That pays off when groups are dense (many lines per
-    key, e.g. per SKU); for sparse groups (SKU x month, SKU x channel) the
+    key, e.g. per SKU); for sparse groups (SKU x month) the
     extra exchange moves almost every line and one level is faster
     (measured at sf0.1: SKU equal, SKU x month 4.5 s vs 3.3 s).
     """
@@ -168,7 +168,8 @@ def fct_sku_channel(costed: DataFrame) -> DataFrame:
     specs = [("sales", F.count(F.lit(1)), F.sum), ("orders", _orders_count(costed), F.sum),
              _sum("qty"), _sum("revenue"), _sum("channel_fee"),
              *_pos_specs("allocated_shipping_cost"), _sum("list_discount")]
-    g = _grouped(costed, ["sku", "channel"], "fee_method", specs)
+    # A channel has one fee method: as a key it leaves a hash aggregate.
+    g = costed.groupBy("sku", "channel", "fee_method").agg(*[agg.alias(n) for n, agg, _ in specs])
     return g.select(
         F.concat(F.col("sku"), F.lit("|"), F.col("channel")).alias("sku_channel"),
         "sku", "channel", "fee_method",

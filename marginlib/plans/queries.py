@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import coerce
 from ..operators import checks, costing, marts, returns, staging, upsert
 from ..sources import landing, testdata
 from . import inputs
@@ -146,24 +147,24 @@ def q_upsert_orders_partitioned(spark, sf):
 
 
 def q_upsert_catalog(spark, sf):
+    """The whole catalog pulled again, each product twice: as landed, then with
+    every third product renamed; the later occurrence wins."""
     landed = inputs.raw_catalog(spark, sf)
     pk = F.regexp_extract("product_id", r"(\d+)$", 1).cast("long")
-    landed = landed.withColumn("seq", pk)
-    snapshot = landed.where(pk % 2 == 0).drop("seq")
-    batch = (landed.where(pk % 3 == 0)
-             .withColumn("product_name", F.concat("product_name", F.lit(" v2"))))
-    r = upsert.upsert(snapshot, batch, "product_id")
+    renamed = F.when(pk % 3 == 0, F.concat("product_name", F.lit(" v2"))).otherwise(F.col("product_name"))
+    batch = (landed.withColumns({"product_name": renamed, "seq": F.lit(2)})
+             .unionByName(landed.withColumn("seq", F.lit(1))))
+    r = upsert.upsert(landed, batch, "product_id")
     return r.select("product_id", "product_name", "shadow_of", "average_cost")
 
 
 def q_upsert_returns(spark, sf):
+    """Submissions since a time pulled again, with another disposition, into
+    the table of all of them."""
     landed = inputs.raw_returns(spark, sf)
-    sk = F.regexp_extract("submission_id", r"(\d+)$", 1).cast("long")
-    landed = landed.withColumn("seq", sk)
-    snapshot = landed.where(sk % 2 == 0).drop("seq")
-    batch = (landed.where(sk % 5 == 0)
-             .withColumn("disposition", F.lit("Used - rechecked")))
-    r = upsert.upsert(snapshot, batch, "submission_id")
+    batch = landing.returns_since(landed, RETURNS_SINCE).withColumns({
+        "disposition": F.lit("Used - rechecked"), "seq": F.lit(1)})
+    r = upsert.upsert(landed, batch, "submission_id")
     return present(r.select("submission_id", "created_at", "disposition", "processing_cost"))
 
 
@@ -181,6 +182,43 @@ def q_upsert_events_latest(spark, sf):
     return present(r)
 
 
+# --- coercions of loose values --------------------------------------------------
+
+def q_coerce_num(spark, sf):
+    p = F.col("l_partkey").cast("string")
+    kinds = [F.concat(F.lit("$1,"), F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0"), F.lit(".25")),
+             F.concat(F.lit(" -"), p, F.lit(".5 ")), F.lit(""), F.lit("n/a"),
+             F.concat(F.lit('{"amount":'), p, F.lit("}")), F.lit("999999999999999999"), p,
+             F.lit(None).cast("string")]
+    sent = F.get(F.array(*kinds), ((F.col("l_orderkey") + F.col("l_linenumber")) % 8).cast("int"))
+    rows = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", sent.alias("sent"))
+    return rows.withColumn("num", coerce.to_num(F.col("sent")))
+
+
+def q_coerce_ts(spark, sf):
+    at = F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)
+    kinds = [F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+             F.date_format(at + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'"),
+             F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(at, "yyyy"), F.lit("yesterday"),
+             F.lit(None).cast("string")]
+    sent = F.get(F.array(*kinds), (F.col("o_orderkey") % 6).cast("int"))
+    rows = testdata.table(spark, sf, "orders").select("o_orderkey", sent.alias("sent"))
+    return present(rows.withColumn("ts", coerce.parse_ts(F.col("sent"))))
+
+
+def q_coerce_text(spark, sf):
+    """Answers of every JSON kind, as text."""
+    size = F.col("p_size").cast("string")
+    kinds = [F.to_json(F.struct(F.col("p_name").alias("answer"))),
+             F.concat(F.lit('{"answer":'), F.col("p_partkey").cast("string"), F.lit("}")),
+             F.lit('{"answer":true}'), F.concat(F.lit('{"answer":{"hh":"'), size, F.lit('"}}')),
+             F.concat(F.lit('{"answer":["'), F.col("p_brand"), F.lit('",'), size, F.lit("]}")),
+             F.lit('{"answer":""}'), F.lit('{"answer":null}')]
+    doc = F.get(F.array(*kinds), (F.col("p_partkey") % 7).cast("int"))
+    rows = testdata.table(spark, sf, "part").select("p_partkey", F.try_parse_json(doc).alias("doc"))
+    return rows.select("p_partkey", coerce.vtext(F.col("doc"), "$.answer").alias("txt"))
+
+
 # --- staging ------------------------------------------------------------------
 
 def q_stg_orders(spark, sf):
