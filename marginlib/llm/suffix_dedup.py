@@ -29,6 +29,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,9 @@ from marginlib.llm.common import id_bits, in_bits, slices, stored
 LENGTH = 50
 GRAM = 24
 NAME_BITS = 27              # bits (as a power of two) of the filter over names: 16 MB
+KEY_BITS = 40               # bits of a name that its key keeps, whole bytes
+HELD_KEYS = 1 << 22         # keys that a task holds before it hands them on
+HELD_BYTES = 64 << 20       # bytes, about, of different segments that a task holds
 ID_BITS = 24
 MERGED = 1 << 20            # bytes of segments that are merged at a time
 
@@ -105,10 +109,6 @@ class _Segments:
         return self.raw[self.row[k]][self.start[k]:self.end[k]]
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
 def _digest(text: bytes) -> tuple[int, int]:
     d = hashlib.blake2b(text, digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -124,22 +124,91 @@ def _passes(docs: DataFrame, each, schema: str) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInArrow(run, schema)
 
 
+def _keys(names: np.ndarray) -> np.ndarray:
+    """Evenly spread numbers of KEY_BITS bits for names, which as minima are small."""
+    return (names * _B) >> np.uint64(64 - KEY_BITS)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, by planes of bytes, compressed."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8).T[:KEY_BITS // 8]
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.zeros((8, n), np.uint8)
+    size = KEY_BITS // 8
+    flat = pa.decompress(raw, decompressed_size=size * n, codec="zstd", asbytes=True)
+    planes[:size] = np.frombuffer(flat, np.uint8).reshape(size, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel())
+
+
 def _shared_names(docs: DataFrame, length: int) -> np.ndarray:
-    """Bits of the names that occur in two documents or more."""
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s = _Segments(batch, length)
-        order = np.argsort(s.name, kind="stable")
-        name, ids = s.name[order], s.ids[s.row[order]]
-        first = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
-        low = np.minimum.reduceat(ids, first) if len(first) else ids
-        high = np.maximum.reduceat(ids, first) if len(first) else ids
-        # 40 bits are enough for a filter.
-        return pa.record_batch([_signed(name[first] >> np.uint64(24)), pa.array(low), pa.array(high)],
-                               ["name", "low", "high"])
+    """Bits of the names that occur in two documents or more.
+
+    Tasks hand on sorted lists of keys, a list for each range of keys; a key of
+    two documents is listed twice.  Of doc_ids nothing travels: names that
+    rows with one doc_id share also set a bit, which costs time only.
+    """
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    range_bits = min(16, max(4, parts.bit_length()))
+    below = np.uint64(KEY_BITS - range_bits)
+
+    def of_part(s: _Segments) -> np.ndarray:
+        keys = _keys(s.name)
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], s.ids[s.row[order]]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
+        return np.repeat(keys[first], 1 + several)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def lists() -> pa.RecordBatch:
+            keys = np.sort(np.concatenate(held))
+            held.clear()
+            keys = keys[np.append([True, True], keys[2:] != keys[:-2])[:len(keys)]]     # twice at most
+            of = (keys >> below).astype(np.int64)
+            cuts = [*np.flatnonzero(np.append(True, of[1:] != of[:-1])).tolist(), len(keys)]
+            rows = [(int(of[a]), b - a, _packed(keys[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+            types = [pa.int32(), pa.int32(), pa.binary()]
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                   ["part", "n", "keys"])
 
-    names = (_passes(docs, each, "name long, low long, high long").groupBy("name")
-             .agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high"))
-    return id_bits(names.select("name"), NAME_BITS)
+        for batch in batches:
+            for piece in slices(batch, 4 << 20):
+                s = _Segments(piece, length)
+                if len(s.name):
+                    held.append(of_part(s))
+                if sum(map(len, held)) >= HELD_KEYS:
+                    yield lists()
+        if held:
+            yield lists()
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for part, group in itertools.groupby(rows, key=lambda r: r[0]):
+            keys = np.sort(np.concatenate([_unpacked(raw, n) for _, n, raw in group]))
+            keys = keys[1:][keys[1:] == keys[:-1]]
+            bits = np.zeros(1 << (NAME_BITS - range_bits), np.uint8)
+            bits[(keys >> np.uint64(KEY_BITS - NAME_BITS)).astype(np.int64) & (len(bits) - 1)] = 1
+            yield pa.record_batch([pa.array([part], pa.int32()),
+                                   pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "bits"])
+
+    found = (docs.select("doc_id", "text").mapInArrow(listed, "part int, n int, keys binary")
+             .repartition("part").sortWithinPartitions("part").mapInArrow(repeated, "part int, bits binary").collect())
+    out = np.zeros(1 << (NAME_BITS - 3), np.uint8)
+    size = len(out) >> range_bits
+    for r in found:         # a fixed size in all: 2**NAME_BITS bits
+        out[r.part * size:(r.part + 1) * size] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _is_shared(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    spots = (_keys(names) >> np.uint64(KEY_BITS - NAME_BITS)).astype(np.int64)
+    return ((bits[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1).astype(np.bool_)
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -195,22 +264,37 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def marked(batch: pa.RecordBatch) -> tuple[_Segments, np.ndarray]:
         s = _Segments(batch, length)
-        spots = (s.name >> np.uint64(24)).astype(np.int64)
-        return s, np.flatnonzero(in_bits(bits.value, spots, NAME_BITS)) if len(spots) else spots
+        return s, np.flatnonzero(_is_shared(bits.value, s.name))
 
-    def different(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s, at = marked(batch)
-        found: dict[bytes, list] = {}
-        for k in at.tolist():
-            own, doc = found.setdefault(s.text(k), [int(s.name[k].view(np.int64)), None, None]), int(s.ids[s.row[k]])
-            own[1] = doc if own[1] is None else min(own[1], doc)
-            own[2] = doc if own[2] is None else max(own[2], doc)
+    def rows_of(found: dict[bytes, list]) -> pa.RecordBatch:
         rows = [(v[0], *_digest(t), v[1], v[2], t) for t, v in found.items()]
         types = [pa.int64()] * 5 + [pa.binary()]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, types,
-                                                                strict=True)],
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                ["name", "h1", "h2", "low", "high", "text"])
 
+    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[bytes, list] = {}
+        size = 0
+        for batch in batches:
+            for part in slices(batch, 4 << 20):
+                s, at = marked(part)
+                names, docs_ = s.name[at].view(np.int64).tolist(), s.ids[s.row[at]].tolist()
+                for k, name, doc in zip(at.tolist(), names, docs_, strict=True):
+                    text = s.text(k)
+                    own = found.get(text)
+                    if own is None:
+                        found[text] = [name, doc, doc]
+                        size += len(text) + 200
+                    elif doc < own[1]:
+                        own[1] = doc
+                    elif doc > own[2]:
+                        own[2] = doc
+                if size >= HELD_BYTES:
+                    yield rows_of(found)
+                    found, size = {}, 0
+        if found:
+            yield rows_of(found)
+
     def places(batch: pa.RecordBatch) -> pa.RecordBatch:
         s, at = marked(batch)
         digests = [_digest(s.text(k)) for k in at.tolist()]
@@ -222,7 +306,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                ["doc", "digest", "at", "h1", "h2"])
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    resolved = stored(_passes(docs, different, "name long, h1 long, h2 long, low long, high long, text binary")
+    resolved = stored(docs.select("doc_id", "text")
+                      .mapInArrow(different, "name long, h1 long, h2 long, low long, high long, text binary")
                       .repartition(parts, "name")
                       .mapInArrow(lambda batches: _resolve(batches, length),
                                   "h1 long, h2 long, ranges array<struct<start:int,end:int,low:long>>"))
