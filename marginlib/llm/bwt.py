@@ -19,13 +19,18 @@ class Shard:
         marked = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.uint16) + 1
         ends = np.cumsum([len(s) + 1 for s in strings]) - 1
         marked[ends] = 0
-        rank, size = marked.astype(np.int64), 1
+        # Seven letters of nine bits make the first rank, each round doubles their number.
+        rank, size = np.zeros(len(marked), np.int64), 7
+        for k in range(size):
+            rank = (rank << 9) | np.roll(marked, -k)
+        rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
         while size < depth:
             pair = rank * (int(rank.max()) + 1) + np.roll(rank, -size)
             rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
             size *= 2
         self.order = np.argsort(rank, kind="stable")
-        self.transform = marked[self.order - 1]     # place -1 is the last end mark
+        # UTF-8 has no bytes beyond 244, so that a byte holds its letters; place -1 is the last end mark.
+        self.transform = marked.astype(np.min_scalar_type(int(marked.max())))[self.order - 1]
 
     def __len__(self) -> int:
         return len(self.order)
@@ -39,7 +44,7 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     common = np.full(n, depth, np.int16)
     common[:1] = 0
     group = np.zeros(n, np.int32)
-    letters = np.empty(n, np.uint16)
+    letters = np.empty(n, np.result_type(*(s.transform for s in shards)))
     for shared in range(depth):
         for k, shard in enumerate(shards):
             letters[source == k] = shard.transform

@@ -44,33 +44,38 @@ LENGTH = 50
 GRAM = 24
 NAME_BITS = 27              # bits (as a power of two) of the filter over names: 16 MB
 KEY_BITS = 40               # bits of a name that its key keeps, whole bytes
-HELD_KEYS = 1 << 22         # keys that a task holds before it hands them on
-HELD_BYTES = 64 << 20       # bytes, about, of different segments that a task holds
+HELD_KEYS = 1 << 21         # keys that a task holds before it hands them on
+HELD_BYTES = 32 << 20       # bytes, about, of texts and segments that a task holds
+PIECE = 128 << 10           # bytes of texts that are cut into segments at a time
 ID_BITS = 24
-MERGED = 1 << 20            # bytes of segments that are merged at a time
+MERGED = 1 << 16            # bytes of segments that are merged at a time
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _names(raw: np.ndarray, length: int) -> np.ndarray:
+def _grams(raw: np.ndarray) -> np.ndarray:
+    """Hashes of the GRAM-byte strings."""
+    h, size, power = raw.astype(np.uint64) + np.uint64(1), 1, int(_B)
+    kept = {1: (h, _B)}
+    while size * 2 <= GRAM:
+        h = h[:-size] * np.uint64(power) + h[size:]
+        power = power * power % (1 << 64)
+        size *= 2
+        kept[size] = (h, np.uint64(power))
+    done, total = None, 0
+    for part in sorted(kept, reverse=True):         # GRAM as a sum of powers of two
+        while total + part <= GRAM:
+            own, scale = kept[part]
+            done = own if done is None else done[:len(own) - total] * scale + own[total:]
+            total += part
+    done = (done ^ (done >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    done ^= done >> np.uint64(32)
+    return done
+
+
+def _names(grams: np.ndarray, length: int) -> np.ndarray:
     """For each window of ``length`` bytes the smallest hash of its GRAM-byte strings."""
-    with np.errstate(over="ignore"):
-        h, size, power = raw.astype(np.uint64) + np.uint64(1), 1, _B
-        kept = {1: (h, power)}
-        while size * 2 <= GRAM:
-            h = h[:-size] * power + h[size:]
-            power = power * power
-            size *= 2
-            kept[size] = (h, power)
-        done, total = None, 0
-        for part in sorted(kept, reverse=True):         # GRAM as a sum of powers of two
-            while total + part <= GRAM:
-                own, scale = kept[part]
-                done = own if done is None else done[:len(own) - total] * scale + own[total:]
-                total += part
-        done = (done ^ (done >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        done ^= done >> np.uint64(32)
-    low, size, width = done, 1, length - GRAM + 1
+    low, size, width = grams, 1, length - GRAM + 1
     while size * 2 <= width:
         low = np.minimum(low[:-size], low[size:])
         size *= 2
@@ -78,50 +83,70 @@ def _names(raw: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2**64; made when needed."""
+
+    def __init__(self, base: int):
+        self.bases, self.known = (base, pow(base, -1, 1 << 64)), None
+
+    def up_to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.known is None or len(self.known[0]) < n:
+            self.known = tuple(np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64))) for b in self.bases)
+        return self.known
+
+
+_POWERS = (_Powers(0xD6E8FEB86659FD93), _Powers(0xA0761D6478BD642F))
+
+
 class _Segments:
     """Segments of a batch of texts, as arrays: name, row, start and end in the row."""
 
     def __init__(self, batch: pa.RecordBatch, length: int):
-        self.raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
         ids = batch.column(0).to_pylist()
-        sizes = np.array([len(r) if i is not None else 0 for i, r in zip(ids, self.raw, strict=True)], np.int64)
-        flat = np.frombuffer(b"".join(r for i, r in zip(ids, self.raw, strict=True) if i is not None), np.uint8)
+        raw = [(t or "").encode() if i is not None else b""
+               for i, t in zip(ids, batch.column(1).to_pylist(), strict=True)]
+        sizes = np.array([len(r) for r in raw], np.int64)
+        self.flat, self.length = b"".join(raw), length
         self.ids = np.array([i if i is not None else 0 for i in ids], np.int64)
         begins = np.concatenate([[0], np.cumsum(sizes)])
-        if len(flat) < length:
+        if len(self.flat) < length:
             self.name = np.zeros(0, np.uint64)
-            self.row = self.start = self.end = np.zeros(0, np.int64)
+            self.row = self.first = self.last = self.start = np.zeros(0, np.int64)
             return
-        names = _names(flat, length)
+        self.grams = _grams(np.frombuffer(self.flat, np.uint8))
+        names = _names(self.grams, length)
         row = np.repeat(np.arange(len(ids)), sizes)[:len(names)]
         inside = np.arange(len(names)) + length <= begins[row + 1]
         new = np.empty(len(names), np.bool_)
         new[0] = True
         new[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1]) | (inside[1:] != inside[:-1])
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(names))
-        first, last = first[inside[first]], last[inside[first]]
-        self.name, self.row = names[first], row[first]
-        self.start = first - begins[self.row]
-        self.end = last - 1 + length - begins[self.row]
-
-    def text(self, k: int) -> bytes:
-        return self.raw[self.row[k]][self.start[k]:self.end[k]]
-
-
-def _digest(text: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(text, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
-
-
-def _passes(docs: DataFrame, each, schema: str) -> DataFrame:
-    """``each(batch)`` over small parts of (doc_id, text, digest of the text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 4 << 20):
-                yield each(part)
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInArrow(run, schema)
+        end = np.append(first[1:], len(names)) + length - 1
+        whole = inside[first]
+        # Bytes from first to last (exclusive) of the joined texts.
+        self.first, self.last = first[whole], end[whole]
+        self.name, self.row = names[self.first], row[self.first]
+        self.start = self.first - begins[self.row]
+
+    def digests(self, at: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each of the segments ``at``, from running sums over the
+        hashes of their GRAM-byte strings."""
+        if not len(at):
+            return [np.zeros(0, np.int64)] * 2
+        first, last, out = self.first[at], self.last[at] - GRAM + 1, []
+        for powers in _POWERS:
+            up, down = powers.up_to(len(self.grams))
+            sums = np.append(np.uint64(0), np.cumsum(self.grams * up[:len(self.grams)]))
+            h = (sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)
+            out.append((h ^ (h >> np.uint64(32))).view(np.int64))
+        return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, _Segments]]:
+    """Small parts of the batches, which fit a processor's cache, and their segments."""
+    for batch in batches:
+        for piece in slices(batch, PIECE):
+            yield piece, _Segments(piece, length)
 
 
 def _keys(names: np.ndarray) -> np.ndarray:
@@ -177,13 +202,11 @@ def _shared_names(docs: DataFrame, length: int) -> np.ndarray:
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                    ["part", "n", "keys"])
 
-        for batch in batches:
-            for piece in slices(batch, 4 << 20):
-                s = _Segments(piece, length)
-                if len(s.name):
-                    held.append(of_part(s))
-                if sum(map(len, held)) >= HELD_KEYS:
-                    yield lists()
+        for _, s in _pieces(batches, length):
+            if len(s.name):
+                held.append(of_part(s))
+            if sum(map(len, held)) >= HELD_KEYS:
+                yield lists()
         if held:
             yield lists()
 
@@ -262,48 +285,44 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(_shared_names(docs, length))
 
-    def marked(batch: pa.RecordBatch) -> tuple[_Segments, np.ndarray]:
-        s = _Segments(batch, length)
-        return s, np.flatnonzero(_is_shared(bits.value, s.name))
-
-    def rows_of(found: dict[bytes, list]) -> pa.RecordBatch:
-        rows = [(v[0], *_digest(t), v[1], v[2], t) for t, v in found.items()]
-        types = [pa.int64()] * 5 + [pa.binary()]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                               ["name", "h1", "h2", "low", "high", "text"])
-
     def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[bytes, list] = {}
-        size = 0
-        for batch in batches:
-            for part in slices(batch, 4 << 20):
-                s, at = marked(part)
-                names, docs_ = s.name[at].view(np.int64).tolist(), s.ids[s.row[at]].tolist()
-                for k, name, doc in zip(at.tolist(), names, docs_, strict=True):
-                    text = s.text(k)
-                    own = found.get(text)
-                    if own is None:
-                        found[text] = [name, doc, doc]
-                        size += len(text) + 200
-                    elif doc < own[1]:
-                        own[1] = doc
-                    elif doc > own[2]:
-                        own[2] = doc
-                if size >= HELD_BYTES:
-                    yield rows_of(found)
-                    found, size = {}, 0
-        if found:
-            yield rows_of(found)
-
-    def places(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s, at = marked(batch)
-        digests = [_digest(s.text(k)) for k in at.tolist()]
-        row = s.row[at]
-        return pa.record_batch([pa.array(s.ids[row]), batch.column(2).take(pa.array(row)),
-                                pa.array(s.start[at]),
-                                pa.array([a for a, _ in digests], pa.int64()),
-                                pa.array([b for _, b in digests], pa.int64())],
-                               ["doc", "digest", "at", "h1", "h2"])
+        held: list[tuple] = []
+        size = base = 0
+
+        def rows() -> pa.RecordBatch:
+            flats, names, h1, h2, ids, first, last = zip(*held, strict=True)
+            flat, columns = b"".join(flats), [np.concatenate(c) for c in (names, h1, h2, ids, first, last)]
+            order = np.lexsort((columns[2], columns[1]))
+            names, h1, h2, ids, first, last = (c[order] for c in columns)
+            new = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+            texts = [flat[a:b] for a, b in zip(first[new].tolist(), last[new].tolist(), strict=True)]
+            held.clear()
+            return pa.record_batch([pa.array(names[new].view(np.int64)), pa.array(h1[new]), pa.array(h2[new]),
+                                    pa.array(np.minimum.reduceat(ids, new)),
+                                    pa.array(np.maximum.reduceat(ids, new)), pa.array(texts, pa.binary())],
+                                   ["name", "h1", "h2", "low", "high", "text"])
+
+        for _, s in _pieces(batches, length):
+            at = np.flatnonzero(_is_shared(bits.value, s.name))
+            if not len(at):
+                continue
+            held.append((s.flat, s.name[at], *s.digests(at), s.ids[s.row[at]], s.first[at] + base, s.last[at] + base))
+            base += len(s.flat)
+            size += len(s.flat) + 48 * len(at)
+            if size >= HELD_BYTES:
+                yield rows()
+                size = base = 0
+        if held:
+            yield rows()
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, s in _pieces(batches, length):
+            at = np.flatnonzero(_is_shared(bits.value, s.name))
+            row = s.row[at]
+            h1, h2 = s.digests(at)
+            yield pa.record_batch([pa.array(s.ids[row]), piece.column(2).take(pa.array(row)),
+                                   pa.array(s.start[at]), pa.array(h1), pa.array(h2)],
+                                  ["doc", "digest", "at", "h1", "h2"])
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     resolved = stored(docs.select("doc_id", "text")
@@ -311,7 +330,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                       .repartition(parts, "name")
                       .mapInArrow(lambda batches: _resolve(batches, length),
                                   "h1 long, h2 long, ranges array<struct<start:int,end:int,low:long>>"))
-    held = _passes(docs, places, "doc long, digest long, at long, h1 long, h2 long").join(resolved, ["h1", "h2"])
+    held = (docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+            .mapInArrow(places, "doc long, digest long, at long, h1 long, h2 long").join(resolved, ["h1", "h2"]))
     mine = F.filter("ranges", lambda r: r["low"] < F.col("doc"))
     return (held.select("doc", "digest", "at", mine.alias("ranges")).where(F.size("ranges") > 0)
             .select("doc", "digest", F.transform("ranges", lambda r: F.struct(
