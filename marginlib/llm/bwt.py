@@ -39,23 +39,24 @@ class Shard:
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(source, common): the shard of each suffix in merged order, and the bytes,
     up to ``depth``, that it shares with the one before it (0 for the first)."""
-    source = np.repeat(np.arange(len(shards), dtype=np.int16), [len(s) for s in shards])
+    source = np.repeat(np.arange(len(shards), dtype=np.min_scalar_type(len(shards))), [len(s) for s in shards])
     n = len(source)
-    common = np.full(n, depth, np.int16)
-    common[:1] = 0
+    letters = np.concatenate([s.transform for s in shards])
+    # Every round sorts the same letters: their borders never change.
+    ordered = np.sort(letters)
+    border = np.append([True], ordered[1:] != ordered[:-1])[:n]
+    common = np.zeros(n, np.int16)
     group = np.zeros(n, np.int32)
-    letters = np.empty(n, np.result_type(*(s.transform for s in shards)))
-    for shared in range(depth):
+    for _ in range(depth):
         for k, shard in enumerate(shards):
             letters[source == k] = shard.transform
         moved = np.argsort(letters, kind="stable")
-        source, before, letter = source[moved], group[moved], letters[moved]
-        parted = np.empty(n, np.bool_)
-        parted[:1] = True
-        parted[1:] = (letter[1:] != letter[:-1]) | (before[1:] != before[:-1])
-        common[parted & (common == depth)] = shared
+        source, before = source[moved], group[moved]
+        parted = border.copy()
+        parted[1:] |= before[1:] != before[:-1]
+        common += ~parted           # neighbours once parted stay so
         group = np.cumsum(parted, dtype=np.int32)
-        if parted.all():
+        if group[-1:] == n:
             break
     return source, common
 

@@ -46,6 +46,7 @@ NAME_BITS = 27              # bits (as a power of two) of the filter over names:
 KEY_BITS = 40               # bits of a name that its key keeps, whole bytes
 HELD_KEYS = 1 << 21         # keys that a task holds before it hands them on
 HELD_BYTES = 32 << 20       # bytes, about, of texts and segments that a task holds
+CELL_KEYS = 1 << 17         # listed keys, about, whose segments are resolved at a time
 PIECE = 128 << 10           # bytes of texts that are cut into segments at a time
 ID_BITS = 24
 MERGED = 1 << 16            # bytes of segments that are merged at a time
@@ -106,7 +107,7 @@ class _Segments:
         raw = [(t or "").encode() if i is not None else b""
                for i, t in zip(ids, batch.column(1).to_pylist(), strict=True)]
         sizes = np.array([len(r) for r in raw], np.int64)
-        self.flat, self.length = b"".join(raw), length
+        self.flat = b"".join(raw)
         self.ids = np.array([i if i is not None else 0 for i in ids], np.int64)
         begins = np.concatenate([[0], np.cumsum(sizes)])
         if len(self.flat) < length:
@@ -128,6 +129,17 @@ class _Segments:
         self.name, self.row = names[self.first], row[self.first]
         self.start = self.first - begins[self.row]
 
+    @classmethod
+    def of(cls, flat: bytes, first: np.ndarray, last: np.ndarray) -> _Segments:
+        """Segments given by their places in joined texts."""
+        s = cls.__new__(cls)
+        s.flat, s.first, s.last = flat, first, last
+        s.grams = _grams(np.frombuffer(flat, np.uint8))
+        # Even numbers in a list of begins and ends belong to segments.
+        edges = np.stack([first, last - GRAM + 1], axis=1).ravel()
+        s.name = np.minimum.reduceat(np.append(s.grams, s.grams[-1:]), edges)[::2]
+        return s
+
     def digests(self, at: np.ndarray) -> list[np.ndarray]:
         """Two hashes of each of the segments ``at``, from running sums over the
         hashes of their GRAM-byte strings."""
@@ -154,23 +166,27 @@ def _keys(names: np.ndarray) -> np.ndarray:
     return (names * _B) >> np.uint64(64 - KEY_BITS)
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, by planes of bytes, compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8).T[:KEY_BITS // 8]
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+def _planes(*numbers: np.ndarray) -> bytes:
+    """Lists of numbers of one length, by planes of bytes, which compress well."""
+    return b"".join(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for x in numbers)
+
+
+def _numbers(raw: bytes, n: int) -> list[np.ndarray]:
+    planes = np.frombuffer(raw, np.uint8).reshape(-1, 8, n)
+    return [np.ascontiguousarray(x.T).view("<i8").ravel() for x in planes]
+
 
+def _compressed(raw: bytes) -> bytes:
+    return pa.compress(raw, codec="zstd", asbytes=True)
 
-def _unpacked(raw: bytes, n: int) -> np.ndarray:
-    planes = np.zeros((8, n), np.uint8)
-    size = KEY_BITS // 8
-    flat = pa.decompress(raw, decompressed_size=size * n, codec="zstd", asbytes=True)
-    planes[:size] = np.frombuffer(flat, np.uint8).reshape(size, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel())
 
+def _decompressed(raw: bytes, size: int) -> bytes:
+    return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True)
 
-def _shared_names(docs: DataFrame, length: int) -> np.ndarray:
-    """Bits of the names that occur in two documents or more.
+
+def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
+    """Bits of the names that occur in two documents or more, and the number of
+    all listed keys.
 
     Tasks hand on sorted lists of keys, a list for each range of keys; a key of
     two documents is listed twice.  Of doc_ids nothing travels: names that
@@ -197,7 +213,9 @@ def _shared_names(docs: DataFrame, length: int) -> np.ndarray:
             keys = keys[np.append([True, True], keys[2:] != keys[:-2])[:len(keys)]]     # twice at most
             of = (keys >> below).astype(np.int64)
             cuts = [*np.flatnonzero(np.append(True, of[1:] != of[:-1])).tolist(), len(keys)]
-            rows = [(int(of[a]), b - a, _packed(keys[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+            steps = np.diff(keys, prepend=np.uint64(0))
+            steps[cuts[:-1]] = keys[cuts[:-1]]
+            rows = [(int(of[a]), b - a, _compressed(_planes(steps[a:b]))) for a, b in zip(cuts, cuts[1:], strict=False)]
             types = [pa.int32(), pa.int32(), pa.binary()]
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                    ["part", "n", "keys"])
@@ -213,20 +231,22 @@ def _shared_names(docs: DataFrame, length: int) -> np.ndarray:
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         for part, group in itertools.groupby(rows, key=lambda r: r[0]):
-            keys = np.sort(np.concatenate([_unpacked(raw, n) for _, n, raw in group]))
+            keys = np.sort(np.concatenate([np.cumsum(_numbers(_decompressed(raw, 8 * n), n)[0])
+                                           for _, n, raw in group])).view(np.uint64)
+            count = len(keys)
             keys = keys[1:][keys[1:] == keys[:-1]]
             bits = np.zeros(1 << (NAME_BITS - range_bits), np.uint8)
             bits[(keys >> np.uint64(KEY_BITS - NAME_BITS)).astype(np.int64) & (len(bits) - 1)] = 1
-            yield pa.record_batch([pa.array([part], pa.int32()),
-                                   pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "bits"])
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([count], pa.int64()),
+                                   pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "n", "bits"])
 
     found = (docs.select("doc_id", "text").mapInArrow(listed, "part int, n int, keys binary")
-             .repartition("part").sortWithinPartitions("part").mapInArrow(repeated, "part int, bits binary").collect())
+             .repartition("part").sortWithinPartitions("part").mapInArrow(repeated, "part int, n long, bits binary").collect())
     out = np.zeros(1 << (NAME_BITS - 3), np.uint8)
     size = len(out) >> range_bits
     for r in found:         # a fixed size in all: 2**NAME_BITS bits
         out[r.part * size:(r.part + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return out
+    return out, sum(r.n for r in found)
 
 
 def _is_shared(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -235,85 +255,107 @@ def _is_shared(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """For each different segment the ranges of windows that a smaller document holds."""
-    names: dict[int, dict[tuple, list]] = {}
-    for batch in batches:
-        for name, h1, h2, low, high, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = names.setdefault(name, {}).setdefault((h1, h2), [low, high, text])
-            own[0], own[1] = min(own[0], low), max(own[1], high)
-    out: list[tuple] = []
-
-    def report(key, high, least):
-        change = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-        ends = np.append(change[1:], len(least))
-        ranges = [(int(a), int(b) - 1 + length, int(least[a])) for a, b in zip(change, ends, strict=True)
-                  if least[a] < high]
-        if ranges:
-            out.append((*key, [{"start": a, "end": b, "low": c} for a, b, c in ranges]))
-
-    waiting: list[tuple] = []
-
-    def merged():
-        if waiting:
-            owners = np.array([low for _, low, _, _ in waiting], np.int64)
-            found = least_by_window([t for *_, t in waiting], owners, length)
-            for (key, _, high, _), least in zip(waiting, found, strict=True):
-                report(key, high, least)
-            waiting.clear()
-
-    size = 0
-    for own in names.values():
-        if len(own) == 1:
-            (key, (low, high, text)), = own.items()
-            report(key, high, np.full(len(text) - length + 1, low))
-            continue
-        waiting.extend((key, *v) for key, v in own.items())
-        size += sum(len(v[2]) for v in own.values())
-        if size > MERGED:
-            merged()
-            size = 0
-    merged()
-    arrow = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("ranges", pa.list_(pa.struct(
-        [("start", pa.int32()), ("end", pa.int32()), ("low", pa.int64())])))])
-    for i in range(0, len(out), 10_000):
-        columns = zip(*out[i:i + 10_000], strict=True)
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+    """For each different segment the ranges of windows that a smaller document
+    holds; cells follow each other, one is held at a time."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for _, group in itertools.groupby(rows, key=lambda r: r[0]):
+        yield from _resolve_cell([(n, _decompressed(raw, size)) for _, n, size, raw in group], length)
+
+
+def _resolve_cell(packs: list[tuple[int, bytes]], length: int) -> Iterator[pa.RecordBatch]:
+    numbers = [_numbers(raw[:24 * n], n) for n, raw in packs]
+    flat = b"".join(raw[24 * n:] for n, raw in packs)
+    size, low, more = (np.concatenate(c) for c in zip(*numbers, strict=True))
+    high, last = low + more, np.cumsum(size)
+    s = _Segments.of(flat, last - size, last)
+    h1, h2 = s.digests(np.arange(len(size)))
+    order = np.lexsort((h2, h1, s.name))
+    name, h1, h2, first, last = (x[order] for x in (s.name, h1, h2, s.first, s.last))
+    new = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+    low, high = np.minimum.reduceat(low[order], new), np.maximum.reduceat(high[order], new)
+    name, h1, h2, first, last = (x[new] for x in (name, h1, h2, first, last))
+    alone = np.append(True, name[1:] != name[:-1])
+    alone &= np.append(name[1:] != name[:-1], True)
+
+    # The only segment of its name: what a smaller document holds, it holds whole.
+    at = np.flatnonzero(alone & (low < high))
+    row, start, end, least = [at], [np.zeros(len(at), np.int64)], [last[at] - first[at]], [low[at]]
+    several = np.flatnonzero(~alone)
+    sizes = np.cumsum((last - first)[several])
+    # Names that end in one stretch of MERGED bytes are merged together.
+    fresh = np.append(True, name[several][1:] != name[several][:-1])
+    stretch = (sizes // MERGED)[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(several) else several
+    for own in np.split(several, np.flatnonzero(stretch[1:] != stretch[:-1]) + 1) if len(several) else []:
+        texts = [flat[a:b] for a, b in zip(first[own].tolist(), last[own].tolist(), strict=True)]
+        found = least_by_window(texts, low[own], length)
+        joined, counts = np.concatenate(found), np.array([len(x) for x in found])
+        of = np.repeat(own, counts)
+        change = np.flatnonzero(np.append(True, (joined[1:] != joined[:-1]) | (of[1:] != of[:-1])))
+        ends, begins = np.append(change[1:], len(joined)), np.repeat(np.cumsum(counts) - counts, counts)[change]
+        some = joined[change] < high[of[change]]
+        row.append(of[change][some])
+        start.append((change - begins)[some])
+        end.append((ends - begins + length - 1)[some])
+        least.append(joined[change][some])
+    row, start, end, least = (np.concatenate(x) for x in (row, start, end, least))
+    if not len(row):
+        return
+    order = np.argsort(row, kind="stable")
+    row, start, end, least = (x[order] for x in (row, start, end, least))
+    new = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    ranges = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
+                                         pa.array(least)], ["start", "end", "low"])
+    offsets = pa.array(np.append(new, len(row)).astype(np.int32))
+    out = pa.record_batch([pa.array(h1[row[new]]), pa.array(h2[row[new]]),
+                           pa.ListArray.from_arrays(offsets, ranges)], ["h1", "h2", "ranges"])
+    yield from (out.slice(i, 10_000) for i in range(0, out.num_rows, 10_000))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, digest, covered): byte ranges, not yet joined, that go from each text."""
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_shared_names(docs, length))
+    shared, n_keys = _shared_names(docs, length)
+    bits = spark.sparkContext.broadcast(shared)
+    # So many cells that one has some megabytes of segments, however large the input.
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cell_bits = min(30, max(parts, n_keys // CELL_KEYS).bit_length())
+    below = np.uint64(KEY_BITS - cell_bits)
 
     def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = base = 0
 
-        def rows() -> pa.RecordBatch:
-            flats, names, h1, h2, ids, first, last = zip(*held, strict=True)
-            flat, columns = b"".join(flats), [np.concatenate(c) for c in (names, h1, h2, ids, first, last)]
-            order = np.lexsort((columns[2], columns[1]))
-            names, h1, h2, ids, first, last = (c[order] for c in columns)
-            new = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
-            texts = [flat[a:b] for a, b in zip(first[new].tolist(), last[new].tolist(), strict=True)]
+        def packs() -> pa.RecordBatch:
+            flats, keys, h1, h2, ids, first, last = zip(*held, strict=True)
+            flat, columns = b"".join(flats), [np.concatenate(c) for c in (keys, h1, h2, ids, first, last)]
             held.clear()
-            return pa.record_batch([pa.array(names[new].view(np.int64)), pa.array(h1[new]), pa.array(h2[new]),
-                                    pa.array(np.minimum.reduceat(ids, new)),
-                                    pa.array(np.maximum.reduceat(ids, new)), pa.array(texts, pa.binary())],
-                                   ["name", "h1", "h2", "low", "high", "text"])
+            order = np.lexsort((columns[1], columns[0]))
+            keys, h1, h2, ids, first, last = (c[order] for c in columns)
+            new = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+            low, high = np.minimum.reduceat(ids, new), np.maximum.reduceat(ids, new)
+            of, first, last = (keys[new] >> below).astype(np.int64), first[new], last[new]
+            cuts = [*np.flatnonzero(np.append(True, of[1:] != of[:-1])).tolist(), len(of)]
+            out = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                raw = _planes(last[a:b] - first[a:b], low[a:b], high[a:b] - low[a:b]) + b"".join(
+                    flat[x:y] for x, y in zip(first[a:b].tolist(), last[a:b].tolist(), strict=True))
+                out.append((int(of[a]), b - a, len(raw), _compressed(raw)))
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                   ["cell", "n", "size", "segments"])
 
         for _, s in _pieces(batches, length):
             at = np.flatnonzero(_is_shared(bits.value, s.name))
             if not len(at):
                 continue
-            held.append((s.flat, s.name[at], *s.digests(at), s.ids[s.row[at]], s.first[at] + base, s.last[at] + base))
+            held.append((s.flat, _keys(s.name[at]), *s.digests(at), s.ids[s.row[at]], s.first[at] + base, s.last[at] + base))
             base += len(s.flat)
             size += len(s.flat) + 48 * len(at)
             if size >= HELD_BYTES:
-                yield rows()
+                yield packs()
                 size = base = 0
         if held:
-            yield rows()
+            yield packs()
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, s in _pieces(batches, length):
@@ -324,10 +366,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                    pa.array(s.start[at]), pa.array(h1), pa.array(h2)],
                                   ["doc", "digest", "at", "h1", "h2"])
 
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     resolved = stored(docs.select("doc_id", "text")
-                      .mapInArrow(different, "name long, h1 long, h2 long, low long, high long, text binary")
-                      .repartition(parts, "name")
+                      .mapInArrow(different, "cell long, n int, size long, segments binary")
+                      .repartition(parts, "cell").sortWithinPartitions("cell")
                       .mapInArrow(lambda batches: _resolve(batches, length),
                                   "h1 long, h2 long, ranges array<struct<start:int,end:int,low:long>>"))
     held = (docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
