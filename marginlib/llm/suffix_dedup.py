@@ -10,14 +10,14 @@ text.
 2. Names that occur in two documents set a bit in a filter of fixed size.  Segments
    of other names have no repeated window.  (A full filter lets more segments
    through, which costs time only.)
-3. Segments are dealt out by name.  Equal ones are one; different ones of a name go,
-   in shards, through `bwt`: their transforms are merged, and the intervals
+3. Segments are dealt out by cells of names, of which there are more the larger the
+   input is.  Equal ones are one; different ones of a name go, in shards, through `bwt`: their transforms are merged, and the intervals
    with common prefixes of ``length`` bytes give each window its smallest document.
 4. Each document takes back what holds for its segments and drops the bytes.
 
-Segments of one task are reduced to different ones before they are
-shuffled, so a passage that very many documents share travels once a task; where the
-places of a frequent segment meet its result, the join is split.
+The segments that a task holds at a time are reduced to different ones before they
+are shuffled, so a passage that very many documents share travels once for each HELD_BYTES
+of a task; where the places of a frequent segment meet its result, the join is split.
 
 Defined results: a null text counts as empty; texts shorter than ``length`` and
 rows without doc_id lose nothing and take nothing from others; repeated rows
