@@ -13,6 +13,8 @@ text.
 3. Segments are dealt out by cells of names, of which there are more the larger the
    input is.  Equal ones are one; different ones of a name go, in shards, through `bwt`: their transforms are merged, and the intervals
    with common prefixes of ``length`` bytes give each window its smallest document.
+   Segments of a name that occurs over MANY times are dealt out by their own hashes
+   instead: their windows' smallest and largest documents are aggregated by Spark.
 4. Each document takes back what holds for its segments and drops the bytes.
 
 The segments that a task holds at a time are reduced to different ones before they
@@ -50,6 +52,12 @@ CELL_KEYS = 1 << 17         # listed keys, about, whose segments are resolved at
 PIECE = 128 << 10           # bytes of texts that are cut into segments at a time
 ID_BITS = 24
 MERGED = 1 << 16            # bytes of segments that are merged at a time
+MANY = 1 << 12              # segments of a name, equal ones counted, that one task may resolve
+MANY_BITS = 23              # bits (as a power of two) of the filter over names with more: 1 MB
+SHARD = 1 << 14             # segments of such names, about, that are held at a time
+
+_COUNT = 64 - KEY_BITS      # below a listed key: a bit if two documents have it, and a count
+_TWO = np.uint64(1 << (_COUNT - 1))
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -184,17 +192,36 @@ def _decompressed(raw: bytes, size: int) -> bytes:
     return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True)
 
 
-def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
-    """Bits of the names that occur in two documents or more, and the number of
-    all listed keys.
+def _summed(listed: np.ndarray) -> np.ndarray:
+    """Listed keys, sorted, each once: counts are added up (as far as they fit), and
+    keys that were listed several times have two documents."""
+    listed = np.sort(listed)
+    keys = listed >> np.uint64(_COUNT)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    count = np.minimum(np.add.reduceat(listed & (_TWO - np.uint64(1)), first), _TWO - np.uint64(1))
+    two = np.bitwise_or.reduceat(listed, first) & _TWO
+    two[np.diff(first, append=len(listed)) > 1] = _TWO
+    return keys[first] << np.uint64(_COUNT) | two | count
+
+
+def _packed_bits(keys: np.ndarray, bits: int, range_bits: int) -> bytes:
+    """Bits of the keys of one range in a filter of 2**bits bits."""
+    out = np.zeros(1 << (bits - range_bits), np.uint8)
+    out[(keys >> np.uint64(KEY_BITS - bits)).astype(np.int64) & (len(out) - 1)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
 
-    Tasks hand on sorted lists of keys, a list for each range of keys; a key of
-    two documents is listed twice.  Of doc_ids nothing travels: names that
+def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Bits of the names that occur in two documents or more, bits of those that
+    occur over MANY times, the number of all listed keys, and how often the names
+    with over MANY occur.
+
+    Tasks hand on sorted lists of keys, a list for each range of keys, with counts and
+    a bit for keys of two documents.  Of doc_ids nothing travels: names that
     rows with one doc_id share also set a bit, which costs time only.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     range_bits = min(16, max(4, parts.bit_length()))
-    below = np.uint64(KEY_BITS - range_bits)
 
     def of_part(s: _Segments) -> np.ndarray:
         keys = _keys(s.name)
@@ -202,16 +229,15 @@ def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
         keys, ids = keys[order], s.ids[s.row[order]]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
-        return np.repeat(keys[first], 1 + several)
+        return keys[first] << np.uint64(_COUNT) | several * _TWO | np.diff(first, append=len(keys)).astype(np.uint64)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def lists() -> pa.RecordBatch:
-            keys = np.sort(np.concatenate(held))
+            keys = _summed(np.concatenate(held))
             held.clear()
-            keys = keys[np.append([True, True], keys[2:] != keys[:-2])[:len(keys)]]     # twice at most
-            of = (keys >> below).astype(np.int64)
+            of = (keys >> np.uint64(64 - range_bits)).astype(np.int64)
             cuts = [*np.flatnonzero(np.append(True, of[1:] != of[:-1])).tolist(), len(keys)]
             steps = np.diff(keys, prepend=np.uint64(0))
             steps[cuts[:-1]] = keys[cuts[:-1]]
@@ -231,38 +257,67 @@ def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         for part, group in itertools.groupby(rows, key=lambda r: r[0]):
-            keys = np.sort(np.concatenate([np.cumsum(_numbers(_decompressed(raw, 8 * n), n)[0])
-                                           for _, n, raw in group])).view(np.uint64)
-            count = len(keys)
-            keys = keys[1:][keys[1:] == keys[:-1]]
-            bits = np.zeros(1 << (NAME_BITS - range_bits), np.uint8)
-            bits[(keys >> np.uint64(KEY_BITS - NAME_BITS)).astype(np.int64) & (len(bits) - 1)] = 1
+            keys = np.concatenate([np.cumsum(_numbers(_decompressed(raw, 8 * n), n)[0])
+                                   for _, n, raw in group]).view(np.uint64)
+            count = len(keys) + np.count_nonzero(keys & _TWO)
+            keys = _summed(keys)
+            keys = keys[(keys & _TWO) > 0]
+            often = keys & (_TWO - np.uint64(1))
+            keys >>= np.uint64(_COUNT)
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([count], pa.int64()),
-                                   pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "n", "bits"])
+                                   pa.array([int(often[often > MANY].sum())], pa.int64()),
+                                   pa.array([_packed_bits(keys, NAME_BITS, range_bits)]),
+                                   pa.array([_packed_bits(keys[often > MANY], MANY_BITS, range_bits)])],
+                                  ["part", "n", "n_many", "bits", "many"])
 
     found = (docs.select("doc_id", "text").mapInArrow(listed, "part int, n int, keys binary")
-             .repartition("part").sortWithinPartitions("part").mapInArrow(repeated, "part int, n long, bits binary").collect())
-    out = np.zeros(1 << (NAME_BITS - 3), np.uint8)
-    size = len(out) >> range_bits
-    for r in found:         # a fixed size in all: 2**NAME_BITS bits
-        out[r.part * size:(r.part + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return out, sum(r.n for r in found)
+             .repartition("part").sortWithinPartitions("part")
+             .mapInArrow(repeated, "part int, n long, n_many long, bits binary, many binary").collect())
+    out, many = np.zeros(1 << (NAME_BITS - 3), np.uint8), np.zeros(1 << (MANY_BITS - 3), np.uint8)
+    for r in found:         # a fixed size in all: 2**NAME_BITS and 2**MANY_BITS bits
+        for bits, own in ((out, r.bits), (many, r.many)):
+            size = len(bits) >> range_bits
+            bits[r.part * size:(r.part + 1) * size] = np.frombuffer(own, np.uint8)
+    return out, many, sum(r.n for r in found), sum(r.n_many for r in found)
 
 
 def _is_shared(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    spots = (_keys(names) >> np.uint64(KEY_BITS - NAME_BITS)).astype(np.int64)
+    """Whether the bit of each name is set in a filter."""
+    spots = (_keys(names) >> np.uint64(KEY_BITS - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
     return ((bits[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1).astype(np.bool_)
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """For each different segment the ranges of windows that a smaller document
-    holds; cells follow each other, one is held at a time."""
-    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-    for _, group in itertools.groupby(rows, key=lambda r: r[0]):
-        yield from _resolve_cell([(n, _decompressed(raw, size)) for _, n, size, raw in group], length)
+RANGES = "ranges array<struct<start:int,end:int,low:long>>"
 
 
-def _resolve_cell(packs: list[tuple[int, bytes]], length: int) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], length: int, shards_from: int) -> Iterator[pa.RecordBatch]:
+    """For each different segment the ranges of windows that a smaller document
+    holds; cells follow each other, one is held at a time.  Cells from ``shards_from`` on
+    are shards of names with many segments: theirs come back without ranges."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for cell, group in itertools.groupby(rows, key=lambda r: r[0]):
+        flat, *segments = _different([(n, _decompressed(raw, size)) for _, n, size, raw in group])
+        if cell < shards_from:
+            for out in _resolve_cell(flat, *segments, length):
+                none = pa.nulls(out.num_rows, pa.int64())
+                yield pa.record_batch([*out.columns, none, none, none, pa.nulls(out.num_rows, pa.binary())], _RESOLVED)
+            continue
+        _, h1, h2, first, last, low, high = segments
+        for i in range(0, len(h1), 10_000):
+            own = slice(i, i + 10_000)
+            texts = pa.array([flat[a:b] for a, b in zip(first[own].tolist(), last[own].tolist(), strict=True)], pa.binary())
+            yield pa.record_batch([pa.array(h1[own]), pa.array(h2[own]), pa.nulls(len(texts), _RANGES),
+                                   pa.array(np.full(len(texts), cell)), pa.array(low[own]), pa.array(high[own]), texts],
+                                  _RESOLVED)
+
+
+_RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("low", pa.int64())]))
+_RESOLVED = ["h1", "h2", "ranges", "shard", "low", "high", "segment"]
+
+
+def _different(packs: list[tuple[int, bytes]]) -> tuple:
+    """Joined texts, and of the different segments: name, two hashes, begin and end in
+    the texts, smallest and largest document."""
     numbers = [_numbers(raw[:24 * n], n) for n, raw in packs]
     flat = b"".join(raw[24 * n:] for n, raw in packs)
     size, low, more = (np.concatenate(c) for c in zip(*numbers, strict=True))
@@ -273,13 +328,38 @@ def _resolve_cell(packs: list[tuple[int, bytes]], length: int) -> Iterator[pa.Re
     name, h1, h2, first, last = (x[order] for x in (s.name, h1, h2, s.first, s.last))
     new = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
     low, high = np.minimum.reduceat(low[order], new), np.maximum.reduceat(high[order], new)
-    name, h1, h2, first, last = (x[new] for x in (name, h1, h2, first, last))
+    return flat, *(x[new] for x in (name, h1, h2, first, last)), low, high
+
+
+def _runs(of: np.ndarray, at: np.ndarray, least: np.ndarray, high: np.ndarray, length: int) -> list[np.ndarray]:
+    """Neighbouring windows of one smallest document as ranges (segment, start, end,
+    document), where a larger document has the segment."""
+    change = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (of[1:] != of[:-1])))
+    ends = np.append(change[1:], len(least)) - 1
+    some = least[change] < high[of[change]]
+    return [x[some] for x in (of[change], at[change], at[ends] + length, least[change])]
+
+
+def _by_segment(h1: np.ndarray, h2: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray,
+                least: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(row, kind="stable")
+    row, start, end, least = (x[order] for x in (row, start, end, least))
+    new = np.flatnonzero(np.append(True, row[1:] != row[:-1])[:len(row)])
+    ranges = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
+                                         pa.array(least)], ["start", "end", "low"])
+    offsets = pa.array(np.append(new, len(row)).astype(np.int32))
+    return pa.record_batch([pa.array(h1[row[new]]), pa.array(h2[row[new]]),
+                            pa.ListArray.from_arrays(offsets, ranges)], ["h1", "h2", "ranges"])
+
+
+def _resolve_cell(flat: bytes, name: np.ndarray, h1: np.ndarray, h2: np.ndarray, first: np.ndarray, last: np.ndarray,
+                  low: np.ndarray, high: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
     alone = np.append(True, name[1:] != name[:-1])
     alone &= np.append(name[1:] != name[:-1], True)
 
     # The only segment of its name: what a smaller document holds, it holds whole.
     at = np.flatnonzero(alone & (low < high))
-    row, start, end, least = [at], [np.zeros(len(at), np.int64)], [last[at] - first[at]], [low[at]]
+    found = [[at, np.zeros(len(at), np.int64), last[at] - first[at], low[at]]]
     several = np.flatnonzero(~alone)
     sizes = np.cumsum((last - first)[several])
     # Names that end in one stretch of MERGED bytes are merged together.
@@ -287,39 +367,82 @@ def _resolve_cell(packs: list[tuple[int, bytes]], length: int) -> Iterator[pa.Re
     stretch = (sizes // MERGED)[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(several) else several
     for own in np.split(several, np.flatnonzero(stretch[1:] != stretch[:-1]) + 1) if len(several) else []:
         texts = [flat[a:b] for a, b in zip(first[own].tolist(), last[own].tolist(), strict=True)]
-        found = least_by_window(texts, low[own], length)
-        joined, counts = np.concatenate(found), np.array([len(x) for x in found])
-        of = np.repeat(own, counts)
-        change = np.flatnonzero(np.append(True, (joined[1:] != joined[:-1]) | (of[1:] != of[:-1])))
-        ends, begins = np.append(change[1:], len(joined)), np.repeat(np.cumsum(counts) - counts, counts)[change]
-        some = joined[change] < high[of[change]]
-        row.append(of[change][some])
-        start.append((change - begins)[some])
-        end.append((ends - begins + length - 1)[some])
-        least.append(joined[change][some])
-    row, start, end, least = (np.concatenate(x) for x in (row, start, end, least))
-    if not len(row):
-        return
-    order = np.argsort(row, kind="stable")
-    row, start, end, least = (x[order] for x in (row, start, end, least))
-    new = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    ranges = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
-                                         pa.array(least)], ["start", "end", "low"])
-    offsets = pa.array(np.append(new, len(row)).astype(np.int32))
-    out = pa.record_batch([pa.array(h1[row[new]]), pa.array(h2[row[new]]),
-                           pa.ListArray.from_arrays(offsets, ranges)], ["h1", "h2", "ranges"])
+        least = least_by_window(texts, low[own], length)
+        counts = np.array([len(x) for x in least])
+        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        found.append(_runs(np.repeat(own, counts), at, np.concatenate(least), high, length))
+    out = _by_segment(h1, h2, *(np.concatenate(x) for x in zip(*found, strict=True)))
     yield from (out.slice(i, 10_000) for i in range(0, out.num_rows, 10_000))
 
 
+def _windows(segments: list[bytes], length: int) -> list[np.ndarray]:
+    """Of each window of the segments: its segment, its place in it and two hashes."""
+    sizes = np.array([len(x) for x in segments], np.int64)
+    last = np.cumsum(sizes)
+    s = _Segments.of(b"".join(segments), last - sizes, last)
+    counts = sizes - length + 1
+    of = np.repeat(np.arange(len(sizes)), counts)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    s.first = s.first[of] + at
+    s.last = s.first + length
+    return [of, at, *s.digests(np.arange(len(of)))]
+
+
+def _resolve_shards(segments: DataFrame, length: int) -> DataFrame:
+    """`_resolve` for shards: no task has all segments of a name.  A window travels once
+    for each batch of a shard, whose segments get their ranges back together."""
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, HELD_BYTES >> 5):
+                if not part.num_rows:
+                    continue
+                shard, low, high = (part.column(i).to_numpy() for i in range(3))
+                of, _, w1, w2 = _windows(part.column(3).to_pylist(), length)
+                order = np.lexsort((w2, w1, shard[of]))
+                of, w1, w2 = of[order], w1[order], w2[order]
+                own = shard[of]
+                new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))
+                columns = (own[new], w1[new], w2[new], np.minimum.reduceat(low[of], new), np.maximum.reduceat(high[of], new))
+                yield pa.record_batch([pa.array(c) for c in columns], ["shard", "w1", "w2", "low", "high"])
+
+    def back(held: pa.Table, least: pa.Table) -> pa.Table:
+        h1, h2, high = (held[c].to_numpy() for c in ("h1", "h2", "high"))
+        of, at, w1, w2 = _windows(held["segment"].to_pylist(), length)
+        w1, w2 = np.append(w1, least["w1"].to_numpy()), np.append(w2, least["w2"].to_numpy())
+        value = np.append(np.full(len(of), np.iinfo(np.int64).max), least["least"].to_numpy())
+        order = np.lexsort((w2, w1))
+        a, b = w1[order], w2[order]
+        new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        value[order] = np.repeat(np.minimum.reduceat(value[order], new), np.diff(new, append=len(order)))
+        return pa.Table.from_batches([_by_segment(h1, h2, *_runs(of, at, value[:len(of)], high, length))])
+
+    held = stored(segments.select("shard", "low", "high", "segment")
+                  .mapInArrow(windows, "shard long, w1 long, w2 long, low long, high long"))
+    least = (held.groupBy("w1", "w2").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+             .where("least < most").drop("most"))
+    met = held.select("shard", "w1", "w2").join(least, ["w1", "w2"])
+    return (segments.select("shard", "h1", "h2", "high", "segment").groupBy("shard").cogroup(met.groupBy("shard"))
+            .applyInArrow(back, f"h1 long, h2 long, {RANGES}"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, digest, covered): byte ranges, not yet joined, that go from each text."""
     spark = docs.sparkSession
-    shared, n_keys = _shared_names(docs, length)
-    bits = spark.sparkContext.broadcast(shared)
+    shared, many, n_keys, n_many = _shared_names(docs, length)
+    bits, many = spark.sparkContext.broadcast(shared), spark.sparkContext.broadcast(many)
     # So many cells that one has some megabytes of segments, however large the input.
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cell_bits = min(30, max(parts, n_keys // CELL_KEYS).bit_length())
     below = np.uint64(KEY_BITS - cell_bits)
+    shards = np.uint64(-(-n_many // SHARD))
+
+    def dealt(names: np.ndarray, digests: np.ndarray) -> np.ndarray:
+        """Keys, whose upper bits are the cell: of a name with many segments, a shard."""
+        keys = _keys(names)
+        if shards:
+            at = np.flatnonzero(_is_shared(many.value, names))
+            keys[at] = (np.uint64(1 << cell_bits) + digests[at].view(np.uint64) % shards) << below
+        return keys
 
     def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -348,7 +471,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             at = np.flatnonzero(_is_shared(bits.value, s.name))
             if not len(at):
                 continue
-            held.append((s.flat, _keys(s.name[at]), *s.digests(at), s.ids[s.row[at]], s.first[at] + base, s.last[at] + base))
+            h1, h2 = s.digests(at)
+            held.append((s.flat, dealt(s.name[at], h1), h1, h2, s.ids[s.row[at]], s.first[at] + base, s.last[at] + base))
             base += len(s.flat)
             size += len(s.flat) + 48 * len(at)
             if size >= HELD_BYTES:
@@ -369,10 +493,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     resolved = stored(docs.select("doc_id", "text")
                       .mapInArrow(different, "cell long, n int, size long, segments binary")
                       .repartition(parts, "cell").sortWithinPartitions("cell")
-                      .mapInArrow(lambda batches: _resolve(batches, length),
-                                  "h1 long, h2 long, ranges array<struct<start:int,end:int,low:long>>"))
+                      .mapInArrow(lambda batches: _resolve(batches, length, 1 << cell_bits),
+                                  f"h1 long, h2 long, {RANGES}, shard long, low long, high long, segment binary"))
+    whole = resolved.where("shard is null").select("h1", "h2", "ranges")
+    if shards:
+        whole = whole.union(stored(_resolve_shards(resolved.where("shard is not null"), length)))
     held = (docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-            .mapInArrow(places, "doc long, digest long, at long, h1 long, h2 long").join(resolved, ["h1", "h2"]))
+            .mapInArrow(places, "doc long, digest long, at long, h1 long, h2 long").join(whole, ["h1", "h2"]))
     mine = F.filter("ranges", lambda r: r["low"] < F.col("doc"))
     return (held.select("doc", "digest", "at", mine.alias("ranges")).where(F.size("ranges") > 0)
             .select("doc", "digest", F.transform("ranges", lambda r: F.struct(
