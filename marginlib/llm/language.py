@@ -38,17 +38,28 @@ STRENGTH = 20.0             # pages that a smoothed prior weighs
 
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style|nav|noscript|template)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.I)
+_HTML = re.compile(r"<html\b[^>]*", re.I)
+_LANG = re.compile(r"""\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.I)
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 
 
-def page_text(html: str) -> str:
-    return html_module.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", html)))
+def shown(html: str) -> str:
+    """A page without comments, scripts and the like."""
+    return _HIDDEN.sub(" ", html)
 
 
-def declared(html: str) -> str:
-    m = _DECLARED.search(html[:4096])       # the html element opens a page
-    return m[1].lower() if m else ""
+def page_text(page: str) -> str:
+    """Text of a page as `shown`."""
+    return html_module.unescape(_TAG.sub(" ", page))
+
+
+def declared(page: str) -> str:
+    """Language of the html element, wherever it opens in a page as `shown`."""
+    for element in _HTML.finditer(page):
+        m = _LANG.search(element[0])
+        if m:
+            return m[1].lower()
+    return ""
 
 
 def host_of(url: str) -> str:
@@ -122,10 +133,11 @@ def _read(pages: DataFrame, model: np.ndarray) -> DataFrame:
 
         def one(url: str, html: str):
             host = host_of(url)
-            likelihood = TEMPER * table[trigrams(page_text(html))].sum(0)
+            page = shown(html)
+            likelihood = TEMPER * table[trigrams(page_text(page))].sum(0)
             likelihood -= likelihood.max()
             guess = int(likelihood.argmax()) if likelihood.any() else -1
-            return host, site_of(host), suffix_of(host), declared(html), likelihood, guess
+            return host, site_of(host), suffix_of(host), declared(page), likelihood, guess
 
         def each(batch: pa.RecordBatch):
             rows = [one(u or "", h or "") for u, h in zip(batch.column(1).to_pylist(),

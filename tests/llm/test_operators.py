@@ -272,6 +272,17 @@ def test_language_of_pages(spark):
     assert got.count() == pages.count() and sum(r.lang == r.stated for r in rows) > 0.95 * len(rows)
 
 
+def test_declared_language_after_a_long_start(spark):
+    page = '<!DOCTYPE html>\n%s<html class="a" lang="de-AT"><body lang="fr">x</body></html>'
+    starts = ["", "<!-- " + "licence " * 1000 + "-->", "<!--[if IE]><html lang='en'><![endif]-->" * 200, " \n" * 4000]
+    rows = [(i, "http://a.example/", page % s) for i, s in enumerate(starts)]
+    rows += [(8, "http://a.example/", "<!-- " + "x" * 5000 + "<html lang='en'> --><p>"),
+             (9, "http://a.example/", "<p>" * 2000 + "<script>a = '<html lang=en>'</script>")]
+    docs = spark.createDataFrame([("de", "das ist ein Wort"), ("en", "this is a word")], "lang string, text string")
+    got = language.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), docs)
+    assert {r.page_id: r.declared for r in got.collect()} == {0: "de", 1: "de", 2: "de", 3: "de", 8: "", 9: ""}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
