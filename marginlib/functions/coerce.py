@@ -29,6 +29,14 @@ def vnum(doc: Column, path: str, dtype: str = "decimal(18,4)") -> Column:
     return F.try_variant_get(doc, path, dtype)
 
 
+def vmoney(doc: Column, path: str, dtype: str = "decimal(18,4)", read: Column | None = None) -> Column:
+    """``vnum`` (or ``read``, if it was read already) for amounts: a finite number
+    that ``dtype`` can't hold is an error (under ANSI), never NULL."""
+    wide = F.try_variant_get(doc, path, "double")
+    beyond = F.when(F.abs(wide) < float("inf"), wide).cast(dtype)
+    return F.coalesce(vnum(doc, path, dtype) if read is None else read, beyond)
+
+
 def vjson(doc: Column, path: str) -> Column:
     """The value at ``path`` as JSON text (strings keep their quotes)."""
     return F.to_json(F.try_variant_get(doc, path, "variant"))

@@ -28,6 +28,13 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
                 F.lit(column).alias("column"), "failures")
 
 
+def rejected(df: DataFrame, model: str) -> DataFrame:
+    """Rows of a landing run's reject table (``landing.rejected``)."""
+    return df.agg(F.count(F.lit(1)).cast("long").alias("failures")) \
+        .select(F.lit("rejected").alias("check"), F.lit(model).alias("model"),
+                F.lit("raw").alias("column"), "failures")
+
+
 def run_checks(tests: Iterable[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """``tests``: (check, model, frame, column) -> one union of results."""
     parts = []

@@ -29,8 +29,8 @@ from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
 from ..functions.coerce import nullif_blank, vtext
-from .staging import (STG_ITEMS_COLUMNS, item_columns, item_fields, num0, order_items,
-                      status_kept, stg_order_items, stg_orders)
+from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, status_kept, stg_order_items,
+                      stg_orders, typed_lines)
 
 COSTED_EXTRA = ["order_revenue", "created_on", "order_source", "company_id", "channel",
                 "order_shipping_cost", "fee_method", "fee_pct", "flat_fee",
@@ -107,7 +107,7 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
         vtext(doc, "$.CompanyID").alias("doc_company_id"),
         num0(doc, "FinalShippingFee").alias("doc_shipping"),
         # each line converted from VARIANT to its typed struct exactly once
-        F.transform(order_items(doc), item_fields).alias("items"))
+        typed_lines(doc).alias("items"))
     if drop_excluded_lines:
         o = o.where(F.col("kept"))
     o = o.withColumns({

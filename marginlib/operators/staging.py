@@ -4,7 +4,8 @@ The landed ``raw`` column is a VARIANT (parsed once at landing), so
 staging reads fields from binary JSON without parsing text.  Numbers are
 read with ``try_variant_get`` as DECIMAL: exact for JSON numbers, numeric
 text is parsed, anything else (a malformed value, an object) becomes NULL
-for that value only instead of failing the job.  A non-array ``Items``
+for that value only instead of failing the job, and is counted by a check.
+A number beyond DECIMAL(18,4) fails the job: it is never read as NULL or 0.  A non-array ``Items``
 gives an order no lines; array elements that are not objects give lines
 with NULL fields, as a lateral unnest of the array would.
 """
@@ -16,7 +17,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import nullif_blank, to_bool, vnum, vtext
+from ..functions.coerce import nullif_blank, to_bool, vmoney, vtext
 from ..functions.numeric import NUM, PRODUCT, zero
 
 STG_ORDERS_COLUMNS = ["order_id", "order_source", "company_id", "status_code", "created_on",
@@ -37,7 +38,7 @@ _NUM = "decimal(18,4)"
 
 def num(doc: Column, key: str) -> Column:
     """``(doc->>'key')::numeric``, NULL when it is not a number."""
-    return vnum(doc, f"$.{key}", _NUM)
+    return vmoney(doc, f"$.{key}", _NUM)
 
 
 def num0(doc: Column, key: str) -> Column:
@@ -94,10 +95,33 @@ ITEM_STRUCT = ("struct<ID:bigint,ProductID:string,ShadowOf:string,ProductName:st
 
 
 def item_fields(item: Column) -> Column:
-    """The typed fields of one line (a VARIANT) as a struct."""
+    """The typed fields of one line (a VARIANT) as a struct; NULL where a value
+    does not convert."""
     return F.try_variant_get(item, "$", ITEM_STRUCT)
 
 
+ITEM_AMOUNTS = ["Qty", "QtyReturned", "SitePrice", "LineTotal", "AverageCost", "FinalValueFee",
+                "TotalRefunded"]
+
+
+def checked_fields(item: Column, f: Column) -> Column:
+    """``f`` (``item_fields`` of ``item``), an error where an amount is too large."""
+    missing = F.lit(False)
+    for x in ITEM_AMOUNTS:
+        missing = missing | f[x].isNull()
+    names = [x.split(":")[0] for x in ITEM_STRUCT[len("struct<"):-1].replace("(18,4)", "").split(",")]
+    fields = [vmoney(item, f"$.{x}", _NUM, read=f[x]) if x in ITEM_AMOUNTS else f[x] for x in names]
+    return F.when(item.isNotNull() & missing,
+                  F.struct(*[c.alias(x) for c, x in zip(fields, names)])).otherwise(f)
+
+
+def typed_lines(doc: Column) -> Column:
+    """The ``Items`` of an order document as an array of typed structs, each line
+    converted from VARIANT once."""
+    read = F.transform(order_items(doc), lambda i: F.struct(i.alias("v"), item_fields(i).alias("f")))
+    return F.transform(read, lambda x: checked_fields(x["v"], x["f"]))
+
+
 def item_columns(item: Column) -> list[Column]:
     """P3 + P5 + F5 + F21 on one line (a VARIANT); order_id excluded.
 
@@ -149,6 +173,22 @@ def malformed_line_numbers(raw_orders: DataFrame) -> DataFrame:
                 "column", "failures")
 
 
+def malformed_document_numbers(landed: DataFrame, model: str, fields: Iterable[str]) -> DataFrame:
+    """Q13 for fields of whole documents (order headers, catalog): present, but no
+    number of type DECIMAL(18,4)."""
+    fields = list(fields)
+
+    def bad(field: str) -> Column:
+        v = F.try_variant_get("raw", f"$.{field}", "variant")
+        present = v.isNotNull() & ~F.is_variant_null(v)
+        return F.count(F.when(present & F.try_variant_get("raw", f"$.{field}", _NUM).isNull(), 1)).cast("long")
+
+    stack = ", ".join(f"'{f}', `{f}`" for f in fields)
+    return landed.agg(*[bad(f).alias(f) for f in fields]) \
+        .selectExpr(f"stack({len(fields)}, {stack}) as (column, failures)") \
+        .select(F.lit("malformed_number").alias("check"), F.lit(model).alias("model"), "column", "failures")
+
+
 def explode_items(df: DataFrame, *keep: str) -> DataFrame:
     """One row per element of ``Items`` (orders without an array vanish).
 
@@ -161,7 +201,8 @@ def explode_items(df: DataFrame, *keep: str) -> DataFrame:
 
 def stg_order_items(raw_orders: DataFrame) -> DataFrame:
     """P3 + J5: one row per order line."""
-    e = explode_items(raw_orders, "order_id").select("order_id", item_fields(F.col("item")).alias("f"))
+    e = explode_items(raw_orders, "order_id").select("order_id", "item", item_fields(F.col("item")).alias("f"))
+    e = e.select("order_id", checked_fields(F.col("item"), F.col("f")).alias("f"))
     return e.select("order_id", *item_columns(F.col("f")))
 
 
@@ -172,12 +213,16 @@ CATALOG_STRUCT = ("struct<ShadowOf:string,ProductName:string,ActiveStatus:string
 
 def stg_catalog(raw_catalog: DataFrame) -> DataFrame:
     """P4 + P5 + F11: one row per catalog product."""
-    c = raw_catalog.select("product_id", "product_name", "average_cost",
+    c = raw_catalog.select("product_id", "product_name", "average_cost", "raw",
                            F.try_variant_get("raw", "$", CATALOG_STRUCT).alias("d"))
     d = F.col("d")
     shadow = nullif_blank(d["ShadowOf"])
-    last_cost = d["LastCost"]
-    avg_json = d["AverageCost"]
+
+    def amount(field: str) -> Column:
+        return vmoney(F.col("raw"), f"$.{field}", _NUM, read=d[field])
+
+    last_cost = amount("LastCost")
+    avg_json = amount("AverageCost")
     return c.select(
         F.col("product_id").alias("sku"),
         F.coalesce(shadow, F.col("product_id")).alias("canonical_sku"),
@@ -187,11 +232,11 @@ def stg_catalog(raw_catalog: DataFrame) -> DataFrame:
         (d["ActiveStatus"] == "Active").alias("is_active"),
         to_bool(d["IsEndOfLife"]).alias("is_end_of_life"),
         to_bool(d["IsKit"]).alias("is_kit"),
-        d["SitePrice"].alias("msrp"),
+        amount("SitePrice").alias("msrp"),
         F.coalesce(F.col("average_cost").cast(NUM), avg_json).alias("average_cost"),
         last_cost.alias("last_cost"),
         F.coalesce(F.when(last_cost != 0, last_cost), avg_json).alias("current_cost"),
         d["BrandName"].alias("brand"),
         d["ProductType"].alias("product_type"),
-        d["WeightLbs"].alias("weight_lbs"),
+        amount("WeightLbs").alias("weight_lbs"),
     )

@@ -610,6 +610,18 @@ FROM stg_returns""", extra=RETURNS_CTES)
         f"AS failures FROM (SELECT CAST({c} AS VARCHAR) AS v FROM li_ids) x"
         for f, c in src_cols.items())
     q["dq_malformed"] = W(mal, extra="li_ids AS (SELECT li.*, l_orderkey * 100 + rn AS order_item_id FROM li)")
+    # Generated documents parse, and their numbers convert, as long as the keys are there.
+    q["dq_rejected"] = "\nUNION ALL\n".join(
+        f"SELECT '{check}' AS \"check\", '{model}' AS model, '{column}' AS \"column\", "
+        f"COUNT(*) FILTER (WHERE {key} IS NULL) AS failures FROM {source}"
+        for check, model, column, key, source in [
+            ("rejected", "raw_orders", "raw", "o_orderkey", "orders"),
+            ("rejected", "raw_catalog", "raw", "p_partkey", "part"),
+            ("rejected", "raw_returns", "raw", "o_orderkey", "orders"),
+            *[("malformed_number", "stg_orders", c, "o_orderkey", "orders")
+              for c in ("GrandTotal", "ShippingTotal", "FinalShippingFee")],
+            *[("malformed_number", "stg_catalog", c, "p_partkey", "part")
+              for c in ("SitePrice", "LastCost", "WeightLbs")]])
     q["int_order_items_costed_dropped"] = W(
         f"SELECT {costed_sel} FROM costed WHERE order_id IN (SELECT order_id FROM stg_orders)",
         excluded=EXCLUDED_CODES)

@@ -8,6 +8,7 @@ compare across engines; everything else keeps its type.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -410,6 +411,19 @@ def q_dq_malformed(spark, sf):
     return staging.malformed_line_numbers(inputs.raw_orders(spark, sf))
 
 
+def q_dq_rejected(spark, sf):
+    """Documents that do not parse, and malformed numbers outside the order lines."""
+    now = testdata.FIXTURE_NOW
+    parts = [checks.rejected(landing.rejected(docs(spark, sf), now), model) for docs, model in (
+        (testdata.order_payloads, "raw_orders"), (testdata.catalog_payloads, "raw_catalog"),
+        (testdata.return_payloads, "raw_returns"))]
+    parts.append(staging.malformed_document_numbers(inputs.raw_orders(spark, sf), "stg_orders",
+                                                    ["GrandTotal", "ShippingTotal", "FinalShippingFee"]))
+    parts.append(staging.malformed_document_numbers(inputs.raw_catalog(spark, sf), "stg_catalog",
+                                                    ["SitePrice", "LastCost", "WeightLbs"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_int_order_items_costed_dropped(spark, sf):
     c = costing.costed_lines(inputs.raw_orders(spark, sf), inputs.channel_map(spark),
                              inputs.fee_rules(spark), EXCLUDED_CODES, drop_excluded_lines=True)

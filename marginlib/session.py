@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # A key that a JSON document repeats keeps its last value, as jsonb does.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Settings for throughput.  AQE re-plans joins from runtime sizes (that is the

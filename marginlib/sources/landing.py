@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType, VariantType)
 
-from ..functions.coerce import first_truthy, nullif_blank, parse_ts, to_num, vnum, vtext
+from ..functions.coerce import first_truthy, nullif_blank, parse_ts, to_num, vmoney, vnum, vtext
+from ..session import apply_conf
 
 RAW_ORDERS_SCHEMA = StructType([
     StructField("order_id", LongType(), False),
@@ -98,10 +99,21 @@ def _with_seq(payloads: DataFrame) -> Column:
 
 
 def _parsed(payloads: DataFrame) -> DataFrame:
+    apply_conf(payloads.sparkSession)       # a repeated key keeps its last value
     return payloads.select(F.try_parse_json("value").alias("raw"),
                            _with_seq(payloads).alias("seq"))
 
 
+def rejected(payloads: DataFrame, extracted_at) -> DataFrame:
+    """Documents that do not parse, whole, with the reason: the reject table of a
+    landing run.  They have no key, so the upsert of the landed rows skips them."""
+    apply_conf(payloads.sparkSession)
+    return payloads.where(F.try_parse_json("value").isNull()).select(
+        "value",
+        F.when(F.col("value").isNull(), "no document").otherwise("not JSON").alias("reason"),
+        _ts(extracted_at).alias("extracted_at"), _with_seq(payloads).alias("seq"))
+
+
 def land_orders(payloads: DataFrame, extracted_at) -> DataFrame:
     """Order document -> raw_orders row (+ ``seq``)."""
     d = F.col("raw")
@@ -110,7 +122,7 @@ def land_orders(payloads: DataFrame, extracted_at) -> DataFrame:
         vtext(d, "$.OrderSourceOrderID").alias("order_source_order_id"),
         parse_ts(vtext(d, "$.CreatedOn")).alias("created_on"),
         parse_ts(vtext(d, "$.LastUpdated")).alias("last_updated"),
-        vnum(d, "$.GrandTotal", "decimal(14,2)").alias("grand_total"),
+        vmoney(d, "$.GrandTotal", "decimal(14,2)").alias("grand_total"),
         vnum(d, "$.OrderSource", "int").alias("order_source"),
         vnum(d, "$.StatusCode", "int").alias("status_code"),
         "raw",

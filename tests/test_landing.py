@@ -2,12 +2,13 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import NOW, payloads, raw_returns, rows
-from marginlib.operators import checks, upsert
+from marginlib.operators import checks, costing, staging, upsert
 from marginlib.session import job_dir
-from marginlib.sources import landing
+from marginlib.sources import landing, seeds
 from marginlib.streaming import upsert_stream
 
 
@@ -154,3 +155,28 @@ def test_sync_state_row(spark):
     assert got["orders"]["watermark"] == dt.datetime(2024, 9, 1)
     assert got["orders"]["max_created_on"] == dt.datetime(2024, 8, 5)
     assert got["returns"]["watermark"] is None
+
+
+def test_repeated_keys_and_rejected_documents(spark):
+    docs = payloads(spark, ['{"ID": 1, "StatusCode": 1, "StatusCode": 2}', '{"ID": 2', '{"ID": 3}'])
+    assert rows(landing.land_orders(docs, NOW).where("raw is not null"), "order_id", "status_code") == [(1, 2), (3, None)]
+    bad = landing.rejected(docs, NOW)
+    assert rows(bad, "value", "reason", "seq") == [('{"ID": 2', "not JSON", 1)]
+    assert rows(checks.rejected(bad, "raw_orders")) == [("rejected", "raw_orders", "raw", 1)]
+
+
+@pytest.mark.parametrize("total", ["999999999999999999", "1e36", '"999999999999999"'])
+def test_amounts_too_large_are_errors_not_zero(spark, total):
+    line = '{"ID": 7, "ProductID": "A", "Qty": 1, "LineTotal": %s}'
+    ro = landing.land_orders(payloads(spark, ['{"ID": 1, "Items": [' + line % total + ']}',
+                                              '{"ID": 2, "Items": [' + line % '"12,50"' + ']}']), NOW)
+    seeds_of = seeds.channel_map(spark), seeds.fee_rules(spark)
+    for df in (staging.stg_order_items(ro), costing.costed_lines(ro, *seeds_of)):
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+            df.collect()
+    assert rows(staging.stg_order_items(ro.where("order_id = 2")), "revenue") == [(D("0.0000"),)]
+    assert rows(staging.malformed_line_numbers(ro).where("failures > 0"), "column", "failures") == [("LineTotal", 2)]
+    header = landing.land_orders(payloads(spark, ['{"ID": 3, "FinalShippingFee": %s}' % total]), NOW)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        staging.stg_orders(header).collect()
+    assert rows(staging.malformed_document_numbers(header, "stg_orders", ["FinalShippingFee"]), "failures") == [(1,)]
