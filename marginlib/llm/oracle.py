@@ -31,3 +31,41 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM w LEFT JOIN n USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c USING (doc_id)
 """
+
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, doc_id > min(doc_id) OVER (PARTITION BY t) AS e FROM d),
+x AS (
+  SELECT f.*, coalesce(l.good, 0) AS good, coalesce(l.bad, 0) AS bad FROM f LEFT JOIN (
+    SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad
+    FROM labels GROUP BY doc_id) l USING (doc_id)),
+u AS (
+  SELECT part, good, bad, [a, b, c, d, e] AS failed,
+         CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS k,
+         count(*) AS n FROM x GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT filter_order, step, instr('ABCDE', substr(filter_order, step, 1)) AS own,
+         list_transform(range(1, step), lambda i: instr('ABCDE', substr(filter_order, i, 1))) AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, n, good, bad, k, failed[own] AS fails,
+         len(list_filter(before, lambda i: failed[i])) > 0 AS gone FROM u, s)
+SELECT part, filter_order, CAST(step AS INT) AS step,
+       CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (gone AND fails), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (fails AND k = 1), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(n * good) FILTER (NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(n * bad) FILTER (NOT gone AND fails), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * 120 // greatest(k, 1)) FILTER (fails), 0) AS BIGINT) AS shapley
+FROM r GROUP BY part, filter_order, step
+"""
