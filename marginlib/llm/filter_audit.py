@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -85,9 +85,9 @@ def _shard(batch: pa.RecordBatch, shard: int, buckets: int) -> Iterator[tuple]:
         yield shard, b, body, None
 
 
-def shards(docs: DataFrame) -> DataFrame:
+def shards(docs: DataFrame, buckets: int) -> DataFrame:
     """Shards of ``docs`` with their words still to be encoded."""
-    buckets, schema = lexicon.bucket_count(docs), _arrow(_SHARDS)
+    schema = _arrow(_SHARDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -124,7 +124,7 @@ def matrix(docs: DataFrame) -> DataFrame:
     """The document-term matrix: a row for each shard with its documents and the
     arrays of compressed sparse rows (see `arrays`); columns are global word numbers."""
     buckets = lexicon.bucket_count(docs)
-    held, schema = stored(shards(docs)), _arrow(_MATRIX)
+    held, schema = stored(shards(docs, buckets)), _arrow(_MATRIX)
     own = held.where("bucket < 0")
     numbers = _numbered(held.where("bucket >= 0").select("shard", "bucket", "body"))
 
@@ -190,45 +190,42 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")))
 
 
-def _steps() -> list[tuple[str, int, int, int]]:
-    """(order, step, filters before, filter) of all orders; filters as bits."""
-    out = []
-    for order in itertools.permutations(FILTERS):
-        before = 0
-        for step, name in enumerate(order, 1):
-            bit = 1 << FILTERS.index(name)
-            out.append(("".join(order), step, before, bit))
-            before |= bit
-    return out
-
-
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """What each filter does at each step of each order, for every source."""
-    masks = range(1 << len(FILTERS))
-    orders = len(_steps()) // len(FILTERS)
-    counts = ("n", "good", "toxic")
-    by_mask = failures(docs, labels).groupBy("part").agg(*(
-        F.coalesce(F.sum(F.when(F.col("mask") == m, F.col(c))), F.lit(0)).alias(f"{c}{m}") for c in counts for m in masks))
-    # Documents that pass all filters of a set, for each set.
-    left = [F.array(*(sum((F.col(f"{c}{m}") for m in masks if not m & s), F.lit(0)) for s in masks)).alias(f"left_{c}")
-            for c in counts]
-    unique = F.array(*(F.col(f"n{m}") for m in masks)).alias("only")
-    # A filter removes a document in the orders that put it first among those that fail.
-    share = F.array(*(sum((F.col(f"n{m}") * (orders // m.bit_count()) for m in masks if m & b), F.lit(0)).cast("long")
-                      for b in masks)).alias("share")
-    step = F.array(*(F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(p).alias("p"), F.lit(b).alias("b"))
-                     for o, s, p, b in _steps()))
-    rows = by_mask.select("part", *left, unique, share).withColumn("at", F.explode(step)).select("*", "at.*")
-
-    def held(c: str, s) -> F.Column:
-        return F.get(f"left_{c}", s)
-
-    p, b = F.col("p"), F.col("b")
-    after = p.bitwiseOR(b)
-    removed = held("n", p) - held("n", after)
-    return rows.select("part", "filter_order", "step", held("n", after).alias("kept"), removed.alias("removed"),
-                       (held("n", F.lit(0)) - held("n", b) - removed).alias("redundant"),
-                       F.get("only", b).alias("unique_fails"),
-                       (held("good", p) - held("good", after)).alias("good_lost"),
-                       (held("toxic", p) - held("toxic", after)).alias("toxic_lost"),
-                       F.get("share", b).alias("shapley"))
+    orders = ["".join(o) for o in itertools.permutations(FILTERS)]
+    size = len(FILTERS)
+    m, n = F.col("mask"), F.col("n")
+    sets, bits = range(1 << size), [1 << k for k in range(size)]
+
+    def total(value: Column, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, value)), F.lit(0))
+
+    # Documents that pass all filters of a set, for each set; that fail one filter only; and
+    # the orders that put a filter first among those that a document fails, which remove it.
+    by_set = {f"left_{c}": [total(F.col(c), m.bitwiseAND(F.lit(s)) == 0) for s in sets] for c in ("n", "good", "toxic")}
+    by_filter = {"only": [total(n, m == b) for b in bits],
+                 "share": [total(n * F.expr(f"{len(orders)} div bit_count(mask)"), m.bitwiseAND(F.lit(b)) != 0) for b in bits]}
+    wide = {f"{name}{k}": c for name, cs in {**by_set, **by_filter}.items() for k, c in enumerate(cs)}
+    parts = (failures(docs, labels).groupBy("part").agg(*(c.alias(name) for name, c in wide.items()))
+             .select("part", *(F.array(*(f"{name}{k}" for k in range(len(cs)))).alias(name)
+                               for name, cs in {**by_set, **by_filter}.items())))
+    at = parts.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(len(orders) * size - 1)))).select(
+        *parts.columns, (F.col("at") % size + 1).alias("step"),
+        F.substring(F.lit("".join(orders)), F.col("at") - F.col("at") % size + 1, F.lit(size)).alias("filter_order"))
+
+    def place(step: Column) -> Column:
+        return F.instr(F.lit(FILTERS), F.substring("filter_order", step, F.lit(1))) - 1
+
+    bit = F.array(*map(F.lit, bits))
+    rows = at.withColumns({
+        "own": place(F.col("step")),
+        "before": sum((F.when(F.col("step") > j, F.get(bit, place(F.lit(j)))).otherwise(0) for j in range(1, size)), F.lit(0))})
+    rows = rows.withColumns({"bit": F.get(bit, "own"), "after": F.col("before") + F.get(bit, "own")})
+
+    def lost(c: str) -> Column:
+        return F.get(f"left_{c}", "before") - F.get(f"left_{c}", "after")
+
+    return rows.select("part", "filter_order", "step", F.get("left_n", "after").alias("kept"), lost("n").alias("removed"),
+                       (F.get("left_n", F.lit(0)) - F.get("left_n", "bit") - lost("n")).alias("redundant"),
+                       F.get("only", "own").alias("unique_fails"), lost("good").alias("good_lost"),
+                       lost("toxic").alias("toxic_lost"), F.get("share", "own").alias("shapley"))

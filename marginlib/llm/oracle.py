@@ -69,3 +69,38 @@ SELECT part, filter_order, CAST(step AS INT) AS step,
        CAST(coalesce(sum(n * 120 // greatest(k, 1)) FILTER (fails), 0) AS BIGINT) AS shapley
 FROM r GROUP BY part, filter_order, step
 """
+
+COLLOCATION = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM s GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+o AS (
+  SELECT lang, phrase, a, k, w, unnest(range(1, k)) AS cut FROM c),
+x AS (
+  SELECT o.lang, o.phrase, o.a, cut, l.f AS l, r.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * o.a * o.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM o JOIN f l ON l.lang = o.lang AND l.phrase = array_to_string(w[:cut], ' ')
+  JOIN f r ON r.lang = o.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+y AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a AS f FROM c WHERE k = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3) GROUP BY ALL)
+SELECT y.lang, row_number() OVER (PARTITION BY y.lang ORDER BY score DESC, a DESC, y.phrase) AS rank,
+       y.phrase, a, l, r, n, score
+FROM y JOIN n ON n.lang = y.lang LEFT JOIN i ON i.lang = y.lang AND i.phrase = y.phrase
+WHERE coalesce(100 * i.longer < 50 * a, TRUE)
+QUALIFY row_number() OVER (PARTITION BY y.lang ORDER BY score DESC, a DESC, y.phrase) <= 2000
+"""

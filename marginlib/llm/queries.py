@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlib.llm import (bpe, chat, decontaminate, filter_audit, jaccard, language, oracle, quality,
+from marginlib.llm import (bpe, chat, collocation, decontaminate, filter_audit, jaccard, language, oracle, quality,
                            secrets, suffix_dedup, toxicity, unigram)
 from marginlib.llm.common import table
 
@@ -73,6 +73,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.mine(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if top not in sys.path:
@@ -84,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_suffix_dedup, op5_toxicity,
                             op6_jaccard_join, op7_chat_format, op8_secret_scan, op9_language_id,
-                            op10_byte_bpe, op11_filter_audit, pipeline)
+                            op10_byte_bpe, op11_filter_audit, op13_phrase_collocation, pipeline)
 }
 
-ORACLE_SQL = {"op6_jaccard_join": oracle.JACCARD, "op11_filter_audit": oracle.FILTER_AUDIT}
+ORACLE_SQL = {"op6_jaccard_join": oracle.JACCARD, "op11_filter_audit": oracle.FILTER_AUDIT,
+              "op13_phrase_collocation": oracle.COLLOCATION}
