@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlib.llm import (bpe, chat, collocation, decontaminate, filter_audit, jaccard, language, oracle, quality,
-                           secrets, suffix_dedup, toxicity, unigram)
+from marginlib.llm import (bpe, chat, collocation, decontaminate, filter_audit, jaccard, language, oracle,
+                           private_data, quality, secrets, suffix_dedup, toxicity, unigram)
 from marginlib.llm.common import table
 
 
@@ -73,6 +73,18 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        number = private_data.NAMES.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *(count(k) for k, _ in private_data.KINDS),
+                        F.sha2(private_data.written(F.col("base")), 256).alias("base_sha256"),
+                        private_data.written(F.col("spans")).alias("spans"))
+
+
 def op13_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.mine(table(spark, sf_dir, "documents"))
 
@@ -88,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality_rules, op4_suffix_dedup, op5_toxicity,
                             op6_jaccard_join, op7_chat_format, op8_secret_scan, op9_language_id,
-                            op10_byte_bpe, op11_filter_audit, op13_phrase_collocation, pipeline)
+                            op10_byte_bpe, op11_filter_audit, op12_private_data, op13_phrase_collocation, pipeline)
 }
 
 ORACLE_SQL = {"op6_jaccard_join": oracle.JACCARD, "op11_filter_audit": oracle.FILTER_AUDIT,
