@@ -55,24 +55,32 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 _HIT = "array<struct<start:int,kind:int,end:int,value:string,left:string,right:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def running(sizes: Column) -> Column:
     """For each place of an array of sizes the sum of those before it.
 
     In blocks of about the root of their number, so that no array grows with each of
     very many steps.
     """
-    n = F.size(sizes)
-    step = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
     none = F.array(F.lit(0))
 
     def sums(values: Column, size) -> Column:
         return F.aggregate(values, none, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + size(x))))
 
-    blocks = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), step),
-                         lambda at: sums(F.slice(sizes, at, step), lambda x: x))
-    heads = sums(blocks, lambda b: F.element_at(b, -1))
-    moved = F.zip_with(blocks, heads, lambda b, h: F.transform(F.slice(b, 1, F.size(b) - 1), lambda x: x + h))
-    return F.flatten(F.filter(moved, lambda b: b.isNotNull()))
+    def blocks(x: Column) -> Column:
+        step = F.greatest(F.ceil(F.sqrt(F.size(x))).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(x), F.lit(1)), step),
+                           lambda at: sums(F.slice(x, at, step), lambda y: y))
+
+    def moved(b: Column) -> Column:
+        heads = F.slice(sums(b, lambda y: F.element_at(y, -1)), 1, F.size(b))
+        return F.flatten(F.zip_with(b, heads, lambda y, h: F.transform(F.slice(y, 1, F.size(y) - 1), lambda v: v + h)))
+
+    return _let(sizes, lambda x: _let(blocks(x), moved))
 
 
 def _digits(value: Column) -> Column:
@@ -106,10 +114,6 @@ def _holds(value: Column, kind: int) -> Column:
 def _hits(text: Column, kind: int) -> Column:
     """Matches of one kind that hold, with their places and contexts."""
     pattern = KINDS[kind][1] if kind < OTHER else _TOKEN
-    values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    ends = running(F.zip_with(between, values, lambda b, v: F.length(b) + F.coalesce(F.length(v), F.lit(0))))
-    rows = F.arrays_zip(values.alias("value"), between.alias("left"), ends.alias("at"),
-                        F.slice(between, 2, F.size(between)).alias("right"))
 
     def hit(x: Column) -> Column:
         start = x["at"] + F.length(x["left"])
@@ -117,9 +121,17 @@ def _hits(text: Column, kind: int) -> Column:
                         x["value"].alias("value"), F.substring(x["left"], -CONTEXT, CONTEXT).alias("left"),
                         F.substring(x["right"], 1, CONTEXT).alias("right"))
 
-    good = F.transform(F.filter(rows, lambda x: x["value"].isNotNull() & _holds(x["value"], kind)), hit)
+    def hits(x: Column) -> Column:
+        values, between = x["values"], x["between"]
+        at = running(F.zip_with(between, values, lambda b, v: F.length(b) + F.coalesce(F.length(v), F.lit(0))))
+        rows = F.arrays_zip(values.alias("value"), between.alias("left"), at.alias("at"),
+                            F.slice(between, 2, F.size(between)).alias("right"))
+        return F.transform(F.filter(rows, lambda r: r["value"].isNotNull() & _holds(r["value"], kind)), hit)
+
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"),
+                     F.split(text, pattern, -1).alias("between"))
     sure = {0: text.contains("@"), 3: text.contains("+")}.get(kind, F.lit(True))
-    return F.when(sure & text.rlike(pattern), good).otherwise(F.array()).cast(_HIT)
+    return F.when(sure & text.rlike(pattern), _let(found, hits)).otherwise(F.array()).cast(_HIT)
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
