@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (ALLOC, ORDER_SUM, PRODUCT, RATIO, dec, qdiv,
                                  zero)
 from ..sources import seeds
-from ..functions.coerce import nullif_blank, vtext
-from .staging import (STG_ITEMS_COLUMNS, item_columns, num0, status_kept, stg_order_items,
-                      stg_orders, typed_lines)
+from ..functions.coerce import nullif_blank
+from .staging import (STG_ITEMS_COLUMNS, header_of, item_columns, lines_of, status_kept, stg_order_items,
+                      stg_orders)
 
 COSTED_EXTRA = ["order_revenue", "created_on", "order_source", "company_id", "channel",
                 "order_shipping_cost", "fee_method", "fee_pct", "flat_fee",
@@ -46,14 +46,14 @@ FIRST_FLAG = "sku_first_in_order"
 
 def _allocate(amount: Column, ratio: Column) -> Column:
     """amount * revenue share, exact, at 12 decimals."""
-    return (F.coalesce(amount, zero()).cast(dec(12, 4)) * ratio).cast(ALLOC)
+    return (F.coalesce(amount, zero()).cast(dec(18, 4)) * ratio.cast(dec(19, 12))).cast(ALLOC)
 
 
 def finish_costing(df: DataFrame) -> DataFrame:
     """F1-F7 on a frame that has the line, order and rule columns."""
     r = F.col("order_revenue")
     no_rev = F.coalesce(r, zero(ORDER_SUM)) == 0
-    ratio = qdiv(F.col("revenue"), r, out_type=RATIO)
+    ratio = qdiv(F.col("revenue"), r, in_type=dec(18, 4), out_type=RATIO)
     m = F.col("fee_method")
     alloc_ship = F.when(no_rev, zero(ALLOC)).otherwise(_allocate(F.col("order_shipping_cost"), ratio))
     alloc_flat = F.when(no_rev, zero(ALLOC)).otherwise(_allocate(F.col("flat_fee"), ratio))
@@ -76,10 +76,23 @@ def finish_costing(df: DataFrame) -> DataFrame:
     })
 
 
-def _sku_key(f: Column) -> Column:
-    """Struct holding a typed line's canonical SKU (NULL-safe equality in
-    arrays); the same rule as the ``sku`` column of ``item_columns``."""
-    return F.struct(F.coalesce(nullif_blank(f["ShadowOf"]), f["ProductID"]).alias("s"))
+def _first_flags(items: Column) -> Column:
+    """For each typed line whether it is the first of its canonical SKU in the array.
+
+    By sorting (SKU, place) and back: work grows with n log n lines of an order.
+    """
+    def key(f: Column, i: Column) -> Column:
+        return F.struct(F.coalesce(nullif_blank(f["ShadowOf"]), f["ProductID"]).alias("s"), i.alias("i"))
+
+    def flags(sorted_: Column) -> Column:
+        def flag(x: Column, j: Column) -> Column:
+            same = F.get(sorted_, j - 1)["s"].eqNullSafe(x["s"]) & (j > 0)
+            return F.struct(x["i"].alias("i"), (~same).alias("first"))
+        return F.transform(sorted_, flag)
+
+    # An array of one element binds the sorted lines once.
+    marked = F.get(F.transform(F.array(F.sort_array(F.transform(items, key))), flags), F.lit(0))
+    return F.transform(F.sort_array(marked), lambda x: x["first"])
 
 
 def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataFrame,
@@ -93,28 +106,25 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     ``drop_excluded_lines=True`` those lines are removed instead (what the
     project's documentation says the filter is for).
 
-    Per order only two small array folds run before the explode (the
-    order's revenue, and the list of line SKUs used to flag the first line
-    of each SKU); all line arithmetic runs after the explode, inside
+    Per order only the revenue is folded and the first line of each SKU
+    flagged before the explode; all line arithmetic runs after it, inside
     whole-stage codegen.
     """
     specific, generic = seeds.prepared_channel_lookups(channel_map)
     rules = seeds.prepared_fee_rules(fee_rules)
-    doc = F.col("raw")
     o = raw_orders.select(
         "order_id", "created_on", "order_source",
         status_kept(excluded_status_codes).alias("kept"),
-        vtext(doc, "$.CompanyID").alias("doc_company_id"),
-        num0(doc, "FinalShippingFee").alias("doc_shipping"),
-        # each line converted from VARIANT to its typed struct exactly once
-        typed_lines(doc).alias("items"))
+        header_of(raw_orders)["company_id"].alias("doc_company_id"),
+        header_of(raw_orders)["order_shipping_cost"].alias("doc_shipping"),
+        lines_of(raw_orders).alias("items"))
     if drop_excluded_lines:
         o = o.where(F.col("kept"))
     o = o.withColumns({
         "order_revenue": F.aggregate(
             "items", zero(ORDER_SUM),
             lambda acc, x: (acc + F.coalesce(x["LineTotal"], zero())).cast(ORDER_SUM)),
-        "sku_keys": F.transform("items", _sku_key),
+        "lines": F.arrays_zip(F.col("items").alias("f"), _first_flags(F.col("items")).alias("first")),
     })
     o = (o.join(F.broadcast(specific),
                 (o.order_source == specific.order_source) & (o.doc_company_id == specific.company_id),
@@ -123,7 +133,7 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
           .join(F.broadcast(generic), "order_source", "left"))
     kept = F.col("kept")
     o = o.select(
-        "order_id", "items", "sku_keys", "order_revenue",
+        "order_id", "lines", "order_revenue",
         F.when(kept, F.col("created_on")).alias("created_on"),
         F.when(kept, F.col("order_source")).alias("order_source"),
         F.when(kept, F.col("doc_company_id")).alias("company_id"),
@@ -134,16 +144,9 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     order_cols = [c for c in COSTED_EXTRA if c in o.columns]
     # The outer variant plus a filter on the generated position keeps the
     # optimizer from inferring a non-empty-array filter on the scan side.
-    lines = (o.select("order_id", "sku_keys", *order_cols,
-                      F.posexplode_outer("items").alias("pos", "f"))
+    lines = (o.select("order_id", *order_cols, F.posexplode_outer("lines").alias("pos", "line"))
               .where(F.col("pos").isNotNull()))
-    lines = lines.select("order_id", *item_columns(F.col("f")), *order_cols, "pos", "sku_keys")
-    # first line of its SKU within the order: the SKU's first position in
-    # the order's SKU list is this line's position
-    lines = lines.withColumn(
-        FIRST_FLAG,
-        F.array_position("sku_keys", F.struct(F.col("sku").alias("s"))) == F.col("pos") + 1
-    ).drop("pos", "sku_keys")
+    lines = lines.select("order_id", *item_columns(F.col("line.f")), *order_cols, F.col("line.first").alias(FIRST_FLAG))
     return finish_costing(lines).select(*INT_COSTED_COLUMNS, FIRST_FLAG)
 
 

@@ -5,7 +5,10 @@ staging reads fields from binary JSON without parsing text.  Numbers are
 read with ``try_variant_get`` as DECIMAL: exact for JSON numbers, numeric
 text is parsed, anything else (a malformed value, an object) becomes NULL
 for that value only instead of failing the job, and is counted by a check.
-A number beyond DECIMAL(18,4) fails the job: it is never read as NULL or 0.  A non-array ``Items``
+A number beyond DECIMAL(18,4) fails the job (a landing job quarantines it before): it is
+never read as NULL or 0 uncounted.  Lines and header amounts are read from the document
+once, at landing, into typed columns (``items``, ``header``) that every model reads; a
+frame without them is read from ``raw`` here.  A non-array ``Items``
 gives an order no lines; array elements that are not objects give lines
 with NULL fields, as a lateral unnest of the array would.
 """
@@ -16,8 +19,9 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from ..functions.coerce import nullif_blank, to_bool, vmoney, vtext
+from ..functions.coerce import nullif_blank, to_bool, vmoney, vnum, vtext
 from ..functions.numeric import NUM, PRODUCT, zero
 
 STG_ORDERS_COLUMNS = ["order_id", "order_source", "company_id", "status_code", "created_on",
@@ -76,9 +80,8 @@ def status_kept(codes: Iterable[int]) -> Column:
 
 def stg_orders(raw_orders: DataFrame, excluded_status_codes: Iterable[int] = ()) -> DataFrame:
     """P1 + P2: one row per order."""
-    hdr = order_header_columns(F.col("raw"))
-    return raw_orders.where(status_kept(excluded_status_codes)).select(
-        *[hdr[c].alias(c) if c in hdr else F.col(c) for c in STG_ORDERS_COLUMNS])
+    o = raw_orders.where(status_kept(excluded_status_codes)).withColumn("h", header_of(raw_orders))
+    return o.select(*(F.col(f"h.{c}") if c in HEADER.names else F.col(c) for c in STG_ORDERS_COLUMNS))
 
 
 def sku_of(item: Column) -> Column:
@@ -87,46 +90,77 @@ def sku_of(item: Column) -> Column:
 
 
 # One typed read per line: a VARIANT object cast to this struct matches
-# fields by name; a field that does not convert is NULL on its own.
+# fields by name; a field that does not convert is NULL on its own.  Amounts are
+# read wide, so that one that is too large is seen and not NULL.
+ITEM_AMOUNTS = ["Qty", "QtyReturned", "SitePrice", "LineTotal", "AverageCost", "FinalValueFee",
+                "TotalRefunded"]
+_WIDE = "decimal(38,4)"
 ITEM_STRUCT = ("struct<ID:bigint,ProductID:string,ShadowOf:string,ProductName:string,"
-               f"Qty:{_NUM},QtyReturned:{_NUM},SitePrice:{_NUM},LineTotal:{_NUM},"
-               f"AverageCost:{_NUM},FinalValueFee:{_NUM},TotalRefunded:{_NUM},"
-               "BundleItems:array<variant>>")
+               + ",".join(f"{x}:{_WIDE}" for x in ITEM_AMOUNTS) + ",BundleItems:array<variant>>")
+# What is landed of a line, and of an order's header.
+LINE = StructType([StructField("ID", LongType()), *(StructField(x, StringType()) for x in ("ProductID", "ShadowOf", "ProductName")),
+                   *(StructField(x, NUM) for x in ITEM_AMOUNTS), StructField("is_bundle", BooleanType())])
+HEADER = StructType([StructField("company_id", StringType()), StructField("shipping_charged_to_customer", NUM),
+                     StructField("order_shipping_cost", NUM), StructField("company_name", StringType()),
+                     StructField("order_source_url", StringType())])
 
 
 def item_fields(item: Column) -> Column:
-    """The typed fields of one line (a VARIANT) as a struct; NULL where a value
-    does not convert."""
+    """The fields of one line (a VARIANT) as a struct with wide amounts; NULL where a
+    value does not convert."""
     return F.try_variant_get(item, "$", ITEM_STRUCT)
 
 
-ITEM_AMOUNTS = ["Qty", "QtyReturned", "SitePrice", "LineTotal", "AverageCost", "FinalValueFee",
-                "TotalRefunded"]
-
+def _line(f: Column, strict: bool) -> Column:
+    """The typed line of ``item_fields``; an amount that is too large is an error, or
+    NULL if not ``strict``."""
+    def amount(x: str) -> Column:
+        return f[x].cast(NUM) if strict else f[x].try_cast(NUM)
 
-def checked_fields(item: Column, f: Column) -> Column:
-    """``f`` (``item_fields`` of ``item``), an error where an amount is too large."""
-    missing = F.lit(False)
-    for x in ITEM_AMOUNTS:
-        missing = missing | f[x].isNull()
-    names = [x.split(":")[0] for x in ITEM_STRUCT[len("struct<"):-1].replace("(18,4)", "").split(",")]
-    fields = [vmoney(item, f"$.{x}", _NUM, read=f[x]) if x in ITEM_AMOUNTS else f[x] for x in names]
-    return F.when(item.isNotNull() & missing,
-                  F.struct(*[c.alias(x) for c, x in zip(fields, names)])).otherwise(f)
+    return F.struct(*(f[x].alias(x) for x in ("ID", "ProductID", "ShadowOf", "ProductName")),
+                    *(amount(x).alias(x) for x in ITEM_AMOUNTS),
+                    (F.coalesce(F.array_size(f["BundleItems"]), F.lit(0)) > 0).alias("is_bundle"))
 
 
-def typed_lines(doc: Column) -> Column:
+def typed_lines(doc: Column, strict: bool = True) -> Column:
     """The ``Items`` of an order document as an array of typed structs, each line
     converted from VARIANT once."""
-    read = F.transform(order_items(doc), lambda i: F.struct(i.alias("v"), item_fields(i).alias("f")))
-    return F.transform(read, lambda x: checked_fields(x["v"], x["f"]))
+    return F.transform(F.transform(order_items(doc), item_fields), lambda f: _line(f, strict))
 
 
-def item_columns(item: Column) -> list[Column]:
-    """P3 + P5 + F5 + F21 on one line (a VARIANT); order_id excluded.
+def typed_header(doc: Column, strict: bool = True) -> Column:
+    """The fields of an order's header that models read, as a struct."""
+    def amount(key: str) -> Column:
+        return F.coalesce((vmoney if strict else vnum)(doc, f"$.{key}", _NUM), zero())
 
-    ``item`` may also be the struct from ``item_fields``.
-    """
+    h = order_header_columns(doc)
+    h = {**h, "shipping_charged_to_customer": amount("ShippingTotal"), "order_shipping_cost": amount("FinalShippingFee")}
+    return F.struct(*(c.alias(n) for n, c in h.items()))
+
+
+def line_problems(doc: Column) -> Column:
+    """(field, value, reason) of line and header amounts that are too large to be landed."""
+    def too_large(field: Column, wide: Column) -> Column:
+        return F.when(wide.isNotNull() & wide.try_cast(NUM).isNull(),
+                      F.struct(field.alias("field"), wide.cast("string").alias("value"), F.lit("too large").alias("reason")))
+
+    lines = F.transform(F.transform(order_items(doc), item_fields), lambda f, i: F.array(
+        *(too_large(F.concat(F.lit("Items["), i.cast("string"), F.lit(f"].{x}")), f[x]) for x in ITEM_AMOUNTS)))
+    header = F.array(*(too_large(F.lit(x), F.try_variant_get(doc, f"$.{x}", _WIDE)) for x in ("ShippingTotal", "FinalShippingFee")))
+    return F.array_compact(F.concat(header, F.coalesce(F.flatten(lines), F.array())))
+
+
+def lines_of(raw_orders: DataFrame) -> Column:
+    """The typed lines of landed orders."""
+    return F.col("items") if "items" in raw_orders.columns else typed_lines(F.col("raw"))
+
+
+def header_of(raw_orders: DataFrame) -> Column:
+    return F.col("header") if "header" in raw_orders.columns else typed_header(F.col("raw"))
+
+
+def item_columns(item: Column) -> list[Column]:
+    """P3 + P5 + F5 + F21 on one typed line; order_id excluded."""
     f = item
     z = zero()
     qty = F.coalesce(f["Qty"], z)
@@ -146,7 +180,7 @@ def item_columns(item: Column) -> list[Column]:
         (qty * F.coalesce(unit_cost, z)).cast(PRODUCT).alias("cogs"),
         F.coalesce(f["FinalValueFee"], z).alias("marketplace_fee"),
         F.coalesce(f["TotalRefunded"], z).alias("refunds"),
-        (F.coalesce(F.array_size(f["BundleItems"]), F.lit(0)) > 0).alias("is_bundle"),
+        F.coalesce(f["is_bundle"], F.lit(False)).alias("is_bundle"),
     ]
 
 
@@ -201,8 +235,8 @@ def explode_items(df: DataFrame, *keep: str) -> DataFrame:
 
 def stg_order_items(raw_orders: DataFrame) -> DataFrame:
     """P3 + J5: one row per order line."""
-    e = explode_items(raw_orders, "order_id").select("order_id", "item", item_fields(F.col("item")).alias("f"))
-    e = e.select("order_id", checked_fields(F.col("item"), F.col("f")).alias("f"))
+    e = (raw_orders.select("order_id", F.posexplode_outer(lines_of(raw_orders)).alias("pos", "f"))
+         .where(F.col("pos").isNotNull()))
     return e.select("order_id", *item_columns(F.col("f")))
 
 

@@ -22,7 +22,7 @@ from ..session import apply_conf, job_dir
 from ..sources import landing, seeds, testdata
 
 # Bump when the fixture or landing logic changes.
-LANDING_VERSION = "7"
+LANDING_VERSION = "8"
 _SOURCES = {"raw_orders": ["orders", "lineitem", "part"],
             "raw_catalog": ["part"],
             "raw_returns": ["orders", "lineitem"]}

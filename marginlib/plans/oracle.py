@@ -438,6 +438,25 @@ SELECT order_id,
 FROM o_src
 WHERE created_on < TIMESTAMP '{UPSERT_SNAPSHOT_BEFORE}' OR created_on >= TIMESTAMP '{UPSERT_BATCH_FROM}'""")
     q["upsert_orders_partitioned"] = q["upsert_orders"]
+    q["upsert_stream_orders"] = q["upsert_orders"]
+    q["upsert_counts"] = W(f"""
+SELECT 'orders' AS kind, '{now}' AS extracted_at, count(*) AS documents, CAST(0 AS BIGINT) AS rejected,
+       CAST(0 AS BIGINT) AS skipped_without_key, CAST(0 AS BIGINT) AS outside_window, CAST(0 AS BIGINT) AS repeated,
+       count(*) AS written, CAST(0 AS BIGINT) AS replaced, CAST(0 AS BIGINT) AS problems
+FROM o_src WHERE created_on < TIMESTAMP '{UPSERT_SNAPSHOT_BEFORE}'
+UNION ALL
+SELECT 'orders', '2001-08-03 06:00:00', 2 * count(*), 0, 0, 0, count(*), count(*),
+       count(*) FILTER (WHERE created_on < TIMESTAMP '{UPSERT_SNAPSHOT_BEFORE}'), 0
+FROM o_src WHERE created_on >= TIMESTAMP '{UPSERT_BATCH_FROM}'
+UNION ALL
+SELECT 'catalog', '{now}', count(*), 0, count(*) FILTER (WHERE lost), 0, 0, count(*) FILTER (WHERE NOT lost), 0, 0
+FROM (SELECT (2 * p_partkey + CASE WHEN product_id LIKE 'SKU.%' THEN 1 ELSE 0 END) % 5 = 0 AS lost FROM cat_src)
+UNION ALL
+SELECT 'returns', '{now}', count(*), count(*) FILTER (WHERE k = 0), 0,
+       count(*) FILTER (WHERE k <> 0 AND old), 0, count(*) FILTER (WHERE k <> 0 AND NOT old), 0,
+       count(*) FILTER (WHERE k = 1 AND NOT old)
+FROM (SELECT CAST(substr(submission_id, 2) AS BIGINT) % 7 AS k,
+             created_at <= TIMESTAMP '{RETURNS_SINCE}' AS old FROM raw_returns)""", extra=RETURNS_CTES)
     q["upsert_catalog"] = W("""
 SELECT product_id,
        CASE WHEN p_partkey % 3 = 0 THEN product_name || ' v2' ELSE product_name END AS product_name,

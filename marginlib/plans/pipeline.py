@@ -25,28 +25,44 @@ from pyspark.sql import functions as F
 from ..operators import checks, costing, marts, returns, staging
 from ..session import build_session, job_dir, write_atomic
 from ..sources import seeds, testdata
+from ..sources.store import Store
 from . import inputs
 
 MONTH = "order_month"
 
 
 def run(spark: SparkSession, raw_orders: DataFrame, raw_catalog: DataFrame,
-        raw_returns: DataFrame, out_dir: str, as_of: str, window_days: int = 90,
+        raw_returns: DataFrame, out_dir: str | Store, as_of: str, window_days: int = 90,
         excluded_status_codes: Iterable[int] = (), aliases: DataFrame | None = None,
         channel_map: DataFrame | None = None, fee_rules: DataFrame | None = None) -> dict:
-    out = out_dir.rstrip("/")
+    """Build all outputs; returns the folder (or the store's table) of each.
+
+    In a folder each table is replaced as it is done; in a `Store` all of them are
+    published at the end, as one version.
+    """
+    store = out_dir if isinstance(out_dir, Store) else None
+    base = store.manifest()["version"] if store else None
+    staged, written = {}, {}
+
+    def write(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        if store:
+            staged[name] = store.stage(name, df, partition_by or ())
+            written[name] = f"{store.path}/data/{name}"
+        else:
+            written[name] = write_atomic(spark, df, f"{out_dir.rstrip('/')}/{name}", partition_by=partition_by)
+
+    def read(name: str) -> DataFrame:
+        return store.read_staged(name, staged[name]) if store else spark.read.parquet(written[name])
+
     channel_map = channel_map if channel_map is not None else seeds.channel_map(spark)
     fee_rules = fee_rules if fee_rules is not None else seeds.fee_rules(spark)
     aliases = aliases if aliases is not None else seeds.sku_aliases(spark)
-    written = {}
-
     costed = costing.costed_lines(raw_orders, channel_map, fee_rules, excluded_status_codes)
     # Rebalanced by month before the write: small months get one file, a large
     # one is split to the advisory size, so files grow with data, not tasks.
     costed = costed.withColumn(MONTH, F.trunc("order_date", "month")).hint("rebalance", MONTH)
-    written["int_order_items_costed"] = write_atomic(
-        spark, costed, f"{out}/int_order_items_costed", partition_by=[MONTH])
-    lines = spark.read.parquet(written["int_order_items_costed"])
+    write("int_order_items_costed", costed, [MONTH])
+    lines = read("int_order_items_costed")
 
     catalog = staging.stg_catalog(raw_catalog)
     since_month = F.trunc(F.date_sub(F.lit(as_of).cast("date"), window_days), "month")
@@ -62,9 +78,9 @@ def run(spark: SparkSession, raw_orders: DataFrame, raw_catalog: DataFrame,
         "stg_returns": returns.stg_returns(raw_returns, catalog, aliases),
     }
     for name, df in tables.items():
-        written[name] = write_atomic(spark, df, f"{out}/{name}")
+        write(name, df)
 
-    r = {n: spark.read.parquet(p) for n, p in written.items()}
+    r = {n: read(n) for n in written}
     dq = checks.run_checks([
         ("not_null", "stg_orders", staging.stg_orders(raw_orders), "order_id"),
         ("unique", "stg_orders", staging.stg_orders(raw_orders), "order_id"),
@@ -78,7 +94,9 @@ def run(spark: SparkSession, raw_orders: DataFrame, raw_catalog: DataFrame,
         ("not_null", "fct_sku_cost_watch", r["fct_sku_cost_watch"], "sku"),
         ("unique", "fct_sku_cost_watch", r["fct_sku_cost_watch"], "sku"),
     ]).unionByName(staging.malformed_line_numbers(raw_orders))
-    written["dq_checks"] = write_atomic(spark, dq, f"{out}/dq_checks")
+    write("dq_checks", dq)
+    if store:
+        store.commit(staged, base=base)
     return written
 
 

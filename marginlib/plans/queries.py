@@ -80,7 +80,7 @@ def _stg_returns(spark, sf) -> DataFrame:
 # --- sources ------------------------------------------------------------------
 
 def q_land_orders(spark, sf):
-    return present(inputs.raw_orders(spark, sf).drop("raw"))
+    return present(inputs.raw_orders(spark, sf).drop("raw", "header", "items"))
 
 
 def q_land_catalog(spark, sf):
@@ -435,6 +435,61 @@ def q_upsert_stream_latest(spark, sf):
     return present(events_latest_stream(spark, sf))
 
 
+def _arriving_orders(spark, sf):
+    """The order documents of three arrivals: landed ones, the re-pulled window as first paged
+    and, after an edit, again."""
+    docs = testdata.order_payloads(spark, sf)
+    at = F.get_json_object("value", "$.CreatedOn").cast("timestamp")
+    window = docs.where(at >= F.lit(UPSERT_BATCH_FROM).cast("timestamp"))
+    edited = window.withColumn("value", F.regexp_replace("value", r'"StatusCode":[0-9]+',
+                                                         f'"StatusCode":{UPSERT_NEW_STATUS}'))
+    return docs.where(at < F.lit(UPSERT_SNAPSHOT_BEFORE).cast("timestamp")), window, edited
+
+
+def q_upsert_stream_orders(spark, sf):
+    """The same re-pull as ``upsert_orders``, as JSON-lines files that arrive in three steps:
+    each step is a micro-batch, published as one version of a store."""
+    import uuid
+
+    from ..session import job_dir
+    from ..sources.store import Store
+    from ..streaming.documents import run_document_stream
+    from . import land
+    run = job_dir(spark, "marginlib", "documents", uuid.uuid4().hex)
+    store = Store(spark, f"{run}/store")
+    times = {0: testdata.FIXTURE_NOW, 1: "2001-08-03 05:00:00", 2: "2001-08-03 06:00:00"}
+    for step, docs in enumerate(_arriving_orders(spark, sf)):
+        docs.select("value").write.text(f"{run}/incoming/step={step}")
+        run_document_stream(store, "orders", f"{run}/incoming", f"{run}/checkpoint", times.__getitem__,
+                            max_files_per_trigger=1_000_000)
+    r = land.raw(store, "orders")
+    return present(r.select("order_id", "status_code", "grand_total", "created_on", "extracted_at"))
+
+
+def q_upsert_counts(spark, sf):
+    """Counts of landing runs: orders, then the window pulled again with each document twice; the
+    catalog with products that lost their id; return forms with text that is no document."""
+    import uuid
+
+    from ..session import job_dir
+    from ..sources.store import Store
+    from . import land
+    store = Store(spark, job_dir(spark, "marginlib", "counts", uuid.uuid4().hex))
+    first, window, edited = _arriving_orders(spark, sf)
+    land.land_batch(store, "orders", first, testdata.FIXTURE_NOW)
+    twice = window.withColumn("seq", F.col("seq") * 2).unionByName(edited.withColumn("seq", F.col("seq") * 2 + 1))
+    land.land_batch(store, "orders", twice, "2001-08-03 06:00:00")
+    seq = F.col("seq")
+    products = testdata.catalog_payloads(spark, sf).withColumn("value", F.when(
+        seq % 5 == 0, F.regexp_replace("value", '"(ProductID|Sku)":"[^"]*"', '"ProductID":""')).otherwise(F.col("value")))
+    land.land_batch(store, "catalog", products, testdata.FIXTURE_NOW)
+    forms = testdata.return_payloads(spark, sf).withColumn("value", F.when(
+        seq % 7 == 0, F.concat(F.lit("<"), "value")).when(
+        seq % 7 == 1, F.regexp_replace("value", r'"123":\{"answer":"[^"]*"', '"123":{"answer":"99,000,000,000.50"')).otherwise(F.col("value")))
+    land.land_batch(store, "returns", forms, testdata.FIXTURE_NOW, after=RETURNS_SINCE)
+    return present(store.read("landing_counts"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -12,12 +12,15 @@ JSON numbers stay exact decimals (no DOUBLE round trip).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DecimalType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, DecimalType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType, VariantType)
 
 from ..functions.coerce import first_truthy, nullif_blank, parse_ts, to_num, vmoney, vnum, vtext
+from ..operators.staging import HEADER, LINE, line_problems, typed_header, typed_lines
 from ..session import apply_conf
 
 RAW_ORDERS_SCHEMA = StructType([
@@ -29,6 +32,9 @@ RAW_ORDERS_SCHEMA = StructType([
     StructField("order_source", IntegerType()),
     StructField("status_code", IntegerType()),
     StructField("raw", VariantType(), False),
+    # Read from the document once, here, so that models need not read it again.
+    StructField("header", HEADER),
+    StructField("items", ArrayType(LINE)),
     StructField("extracted_at", TimestampType(), False),
 ])
 
@@ -98,10 +104,10 @@ def _with_seq(payloads: DataFrame) -> Column:
     return F.col("seq") if "seq" in payloads.columns else F.lit(None).cast("long")
 
 
-def _parsed(payloads: DataFrame) -> DataFrame:
+def _parsed(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     apply_conf(payloads.sparkSession)       # a repeated key keeps its last value
     return payloads.select(F.try_parse_json("value").alias("raw"),
-                           _with_seq(payloads).alias("seq"))
+                           _with_seq(payloads).alias("seq"), *keep)
 
 
 def rejected(payloads: DataFrame, extracted_at) -> DataFrame:
@@ -114,23 +120,27 @@ def rejected(payloads: DataFrame, extracted_at) -> DataFrame:
         _ts(extracted_at).alias("extracted_at"), _with_seq(payloads).alias("seq"))
 
 
-def land_orders(payloads: DataFrame, extracted_at) -> DataFrame:
-    """Order document -> raw_orders row (+ ``seq``)."""
+def land_orders(payloads: DataFrame, extracted_at, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Order document -> raw_orders row (+ ``seq``).
+
+    A total that the landed type can't hold is an error; without ``strict`` it is NULL, and
+    `amount_problems` names it.  ``keep`` passes columns of the payloads on.
+    """
     d = F.col("raw")
-    return _parsed(payloads).select(
+    return _parsed(payloads, keep).select(
         vnum(d, "$.ID", "bigint").alias("order_id"),
         vtext(d, "$.OrderSourceOrderID").alias("order_source_order_id"),
         parse_ts(vtext(d, "$.CreatedOn")).alias("created_on"),
         parse_ts(vtext(d, "$.LastUpdated")).alias("last_updated"),
-        vmoney(d, "$.GrandTotal", "decimal(14,2)").alias("grand_total"),
+        (vmoney if strict else vnum)(d, "$.GrandTotal", "decimal(14,2)").alias("grand_total"),
         vnum(d, "$.OrderSource", "int").alias("order_source"),
         vnum(d, "$.StatusCode", "int").alias("status_code"),
-        "raw",
+        "raw", typed_header(d, strict).alias("header"), typed_lines(d, strict).alias("items"),
         _ts(extracted_at).alias("extracted_at"),
-        "seq")
+        "seq", *keep)
 
 
-def land_catalog(payloads: DataFrame, extracted_at) -> DataFrame:
+def land_catalog(payloads: DataFrame, extracted_at, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Product document -> raw_catalog row (+ ``seq``).
 
     The id is the first truthy of ProductID, ID, Sku, SKU (keys are
@@ -138,28 +148,28 @@ def land_catalog(payloads: DataFrame, extracted_at) -> DataFrame:
     counted) by the upsert.
     """
     d = F.col("raw")
-    return _parsed(payloads).select(
+    return _parsed(payloads, keep).select(
         first_truthy(d, "$.ProductID", "$.ID", "$.Sku", "$.SKU").alias("product_id"),
         vtext(d, "$.ProductName").alias("product_name"),
         nullif_blank(vtext(d, "$.ShadowOf")).alias("shadow_of"),
         to_num(vtext(d, "$.AverageCost"), DecimalType(14, 4)).alias("average_cost"),
         "raw",
         _ts(extracted_at).alias("extracted_at"),
-        "seq")
+        "seq", *keep)
 
 
 def _answer(qid: str) -> Column:
     return vtext(F.col("raw"), f"$.answers['{qid}'].answer")
 
 
-def land_returns(payloads: DataFrame, extracted_at) -> DataFrame:
+def land_returns(payloads: DataFrame, extracted_at, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """S3: form submission -> raw_returns row (+ ``seq``).
 
     Answers that are objects (time widgets etc.) land as their JSON text.
     """
     q = RETURN_QIDS
     d = F.col("raw")
-    return _parsed(payloads).select(
+    return _parsed(payloads, keep).select(
         vtext(d, "$.id").alias("submission_id"),
         parse_ts(vtext(d, "$.created_at")).alias("created_at"),
         _answer(q["order_rma"]).alias("order_rma"),
@@ -171,7 +181,28 @@ def land_returns(payloads: DataFrame, extracted_at) -> DataFrame:
         to_num(_answer(q["processing_cost"]), DecimalType(12, 2)).alias("processing_cost"),
         "raw",
         _ts(extracted_at).alias("extracted_at"),
-        "seq")
+        "seq", *keep)
+
+
+def _problem(field: str, text: Column, dtype: DecimalType) -> Column:
+    """(field, value, reason) of an amount that was sent but can't be landed, else NULL."""
+    number = F.regexp_replace(text, r"[,$]", "").try_cast("double")
+    reason = F.when(F.abs(number) < float("inf"), "too large").otherwise("not a number")
+    return F.when((F.trim(text) != "") & to_num(text, dtype).isNull(),
+                  F.struct(F.lit(field).alias("field"), text.alias("value"), reason.alias("reason")))
+
+
+def amount_problems(kind: str) -> Column:
+    """Amounts of a document (``raw``) that the landed columns of its kind can't hold, as
+    an array of (field, value, reason): what the landed row has as NULL."""
+    q, d = RETURN_QIDS, F.col("raw")
+    amounts = {
+        "orders": [("GrandTotal", vtext(d, "$.GrandTotal"), DecimalType(14, 2))],
+        "catalog": [("AverageCost", vtext(d, "$.AverageCost"), DecimalType(14, 4))],
+        "returns": [(c, _answer(q[c]), DecimalType(12, 2)) for c in ("labor_cost", "processing_cost")],
+    }[kind]
+    found = F.array_compact(F.array(*(_problem(*a) for a in amounts)))
+    return F.concat(found, line_problems(d)) if kind == "orders" else found
 
 
 def orders_window(raw_orders: DataFrame, since=None, until=None) -> DataFrame:
