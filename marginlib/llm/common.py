@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,7 +27,21 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `stored` that nothing reads any more, and let Spark drop the
+    shuffle files that no frame in use needs."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
+    for df in tables[:1]:
+        df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -3,8 +3,8 @@
 Each round points every node's larger neighbours at its smallest neighbour,
 then every node and its smaller neighbours at the smallest of them; the links
 end as stars around the smallest node of each component.  Rounds are joins and
-minimum aggregations only: a node with very many links is reduced before the
-shuffle, and its links are split by the adaptive skew join.
+minimum aggregations only: the minimum of a node with very many links is taken before the
+shuffle.  A round's links replace those of the round before, which are deleted.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginlib.llm.common import stored
+from marginlib.llm.common import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def components(links: DataFrame) -> DataFrame:
                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
-        edges = stored(_small_star(_large_star(edges)))
+        old, edges = edges, stored(_small_star(_large_star(edges)))
+        discard(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

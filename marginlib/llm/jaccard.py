@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginlib.llm.common import id_bits, in_bits, map_batches, stored, texts
+from marginlib.llm import lexicon
+from marginlib.llm.common import discard, id_bits, in_bits, map_batches, slices, stored
 from marginlib.llm.components import components
 
 SHARED = 4              # shingles at least that two linkable classes share within their prefixes
@@ -49,9 +50,15 @@ SKETCH_BITS = 22        # counters of the rarity sketch
 SLICES = 64             # parts in which sketches are added up
 BLOCK = 1_000           # classes of a group in each of the two blocks that a task holds
 COUNTED = 4_096         # numbers in short lists from which they are merged by counting
+KEY_BITS = 40           # bits of a shingle's key in packed lists
+CELL_KEYS = 1 << 20     # keys, about, of a cell of packed lists
 BIT_SET = 24            # bits (as a power of two) of the filter in front of text joins
 
 _A = np.uint64(0x9E3779B97F4A7C15)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_GAP = np.zeros(256, np.bool_)
+_GAP[[0x20, *range(0x09, 0x0E)]] = True
 _WORDS_MOST = 400_000
 
 
@@ -89,6 +96,31 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(_mix(out))
 
 
+def batch_shingles(column: pa.Array, size: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text of a column; other hashes than those of
+    `shingles`, which hashes one text."""
+    data, bounds = lexicon.joined(column, b"\n")
+    data = _LOWER[data]
+    words, starts = lexicon.split(data, _GAP[data])
+    h = lexicon.word_hashes(*lexicon.parts(words))
+    first = np.searchsorted(starts, bounds)
+    out = np.full(max(0, len(h) - size + 1), np.uint64(size))
+    for j in range(size):
+        out = out * _A + h[j:len(h) - size + 1 + j]
+    out, sets = _mix(out), []
+    for a, b in zip(first.tolist(), first[1:].tolist(), strict=False):
+        if b - a >= size:
+            sets.append(np.unique(out[a:b - size + 1]))
+        elif b > a:                                     # all words are one shingle
+            one = np.full(1, np.uint64(b - a))
+            for x in h[a:b]:
+                one = one * _A + x
+            sets.append(_mix(one))
+        else:
+            sets.append(out[:0])
+    return sets
+
+
 def _class_of(s: np.ndarray) -> tuple[int, int]:
     d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
     return (int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))
@@ -104,9 +136,9 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.uint32)
         for batch in batches:
-            for t in texts(batch):
-                at = (shingles(t, size) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                total[at] += 1
+            for part in slices(batch):
+                for s in batch_shingles(part.column(0), size):
+                    total[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += 1
         step = cells // SLICES
         if total.any():
             yield pa.record_batch([pa.array(range(SLICES), pa.int32()),
@@ -163,8 +195,7 @@ def _signatures(docs: DataFrame, size: int, pct: int) -> DataFrame:
     def make():
         seen = counts.value
 
-        def one(t: str):
-            s = shingles(t, size)
+        def one(s: np.ndarray):
             n = len(s)
             if not n:
                 return 0, 0, 0, [], [], 0
@@ -179,7 +210,7 @@ def _signatures(docs: DataFrame, size: int, pct: int) -> DataFrame:
             return (n, *_class_of(s), keys, prefix.view(np.int64), _occurrences(n, pct))
 
         def each(batch: pa.RecordBatch):
-            rows = [one(t) for t in texts(batch)]
+            rows = [one(s) for s in batch_shingles(batch.column(1), size)]
             return [batch.column(0), *(zip(*rows) if rows else [[]] * 6)]
         return each
 
@@ -369,6 +400,57 @@ def _dealt(rows: DataFrame, keys: DataFrame) -> DataFrame:
             .drop("blocks", "other"))
 
 
+def _able(named: DataFrame) -> DataFrame:
+    """Classes (doc) whose prefix shares t shingles or more with other components.
+
+    Shingles travel as packed lists of keys with the places of their classes, a pack for each cell of
+    keys, of which there are more the more shingles there are.  Keys have 40 bits of a
+    hash: should two shingles have one key, more classes are searched, with the same result.
+    """
+    total = int(named.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0)
+    bits = min(24, max(4, (total // CELL_KEYS).bit_length()))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 16 << 20):
+                docs, comps, prefixes = part.columns
+                offsets = prefixes.offsets.to_numpy()
+                keys = prefixes.values.to_numpy()[offsets[0]:offsets[-1]].view(np.uint64) & np.uint64((1 << KEY_BITS) - 1)
+                of = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+                order = np.argsort(keys, kind="stable")
+                keys, of = keys[order], of[order]
+                cell = (keys >> np.uint64(KEY_BITS - bits)).astype(np.int64)
+                edge = np.flatnonzero(np.diff(cell, prepend=-1, append=-1)) if len(cell) else []
+                docs, comps = docs.to_numpy(), comps.to_numpy()
+                for a, b in zip(edge, edge[1:], strict=False):
+                    own, at = np.unique(of[a:b], return_inverse=True)
+                    steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                    body = lexicon.pack(lexicon.narrow(steps), lexicon.narrow(at), docs[own], comps[own])
+                    yield pa.record_batch([pa.array([int(cell[a])]), pa.array([body])], ["cell", "body"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in lexicon.by_key(batches, "cell"):
+            keys, docs, comps = [], [], []
+            for _, body in group:
+                steps, at, own, of = lexicon.unpack(body)
+                keys.append(np.cumsum(steps, dtype=np.uint64))
+                docs.append(own[at])
+                comps.append(of[at])
+            keys, docs, comps = map(np.concatenate, (keys, docs, comps))
+            order = np.argsort(keys, kind="stable")
+            keys, docs, comps = keys[order], docs[order], comps[order]
+            start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            apart = np.minimum.reduceat(comps, start) < np.maximum.reduceat(comps, start)
+            found, n = np.unique(docs[np.repeat(apart, np.diff(start, append=len(keys)))], return_counts=True)
+            if len(found):
+                yield pa.record_batch([pa.array(found), pa.array(n)], ["doc", "found"])
+
+    packs = named.select("doc", "comp", "prefix").mapInArrow(deal, "cell long, body binary")
+    found = (packs.repartition("cell").sortWithinPartitions("cell").mapInArrow(shared, "doc long, found long")
+             .groupBy("doc").agg(F.sum("found").alias("found")))
+    return named.select("doc", "t").join(found, "doc").where("found >= t").select("doc")
+
+
 def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pct: int) -> DataFrame:
     """Links (a, b) that connect what ``comps`` leaves apart.
 
@@ -377,12 +459,10 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
     share t shingles; every linked pair lies within one family, whose whole
     sets are then searched.
     """
-    named = stored(classes.join(comps, classes.doc == comps.node, "left").select(
+    all_named = stored(classes.join(comps, classes.doc == comps.node, "left").select(
         "doc", F.coalesce("component", "doc").alias("comp"), "n", "t", "prefix"))
-    rows = named.select("doc", "comp", "t", F.explode("prefix").alias("key"))
-    able = (rows.join(_between(rows.select("key", "comp")).select("key"), "key")
-            .groupBy("doc", "t").agg(F.count("*").alias("found")).where("found >= t").select("doc"))
-    named = stored(named.join(able, "doc", "left_semi"))
+    named = stored(all_named.join(_able(all_named), "doc", "left_semi"))
+    discard(all_named)
     first = F.expr(f"n - ceil({pct} * n / 100.0) + 1").cast("int")
     lists = named.select("doc", "comp", F.explode(F.slice("prefix", F.lit(1), first)).alias("key"))
     dealt = _dealt(lists.select("key", "doc"), _between(lists.select("key", "comp"))).join(named, "doc")
@@ -474,12 +554,14 @@ def near_copies(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
     doc_id reachable by links.
     """
     docs = docs.select("doc_id", "text")
-    rows = stored(_signatures(docs, size, pct))
+    whole = stored(_signatures(docs, size, pct))
     # One class for equal sets; its smallest doc_id stands for it.
-    classes = stored(rows.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
+    classes = stored(whole.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
                      .agg(F.min("doc_id").alias("doc"), F.min("n").alias("n"),
                           F.first("keys").alias("keys"), F.first("prefix").alias("prefix"),
                           F.min("t").alias("t")))     # first: they are equal
+    rows = stored(whole.select("doc_id", "n", "c1", "c2"))
+    discard(whole)
     texts_of = docs.where("doc_id is not null")
     near = stored(_linked(stored(_key_pairs(classes, pct)), texts_of, size, pct))
     more = _search(texts_of, classes, components(near), size, pct)
@@ -493,10 +575,19 @@ def near_copies(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id, of
-    rows that repeat this id the smallest by all columns.  Rows without a doc_id
-    stay."""
-    heads = near_copies(docs, size, pct).where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*docs.columns)
-    return (docs.join(heads, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
-            .select("row.*").union(docs.where("doc_id is null")))
+    """``docs`` with one row of each component: that of the smallest doc_id (null: the largest).
+
+    Rows are compared one by one: rows that share a doc_id but no link all stay, and
+    rows without a doc_id take part.  Rows without words stay.
+    """
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        heads = near_copies(docs, size, pct).where("doc_id = component_id").select("doc_id")
+        return docs.join(heads, "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # A number for each row, in a table, so that it stays the same.
+    whole = stored(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
+    linked = near_copies(whole.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), size, pct)
+    ids = whole.select("number", F.col("row.doc_id").alias("own"))
+    heads = (linked.join(ids, linked.doc_id == ids.number)
+             .groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), "own", "number")).alias("head")).select("head.number"))
+    return whole.join(heads, "number", "left_semi").select("row.*")

@@ -95,14 +95,14 @@ def encoded(words: pa.Array, buckets: int) -> tuple[np.ndarray, pa.Array, np.nda
     coded = words.dictionary_encode()
     codes, different = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
     data, lengths = parts(different)
-    bucket = (_word_hash(data, lengths) % np.uint64(buckets)).astype(np.int64)
+    bucket = (word_hashes(data, lengths) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return place[codes], different.take(pa.array(order)), bucket[order]
 
 
-def _word_hash(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(lengths):
         return np.zeros(0, np.uint64)
     starts = np.cumsum(lengths) - lengths
