@@ -111,21 +111,32 @@ def item_fields(item: Column) -> Column:
     return F.try_variant_get(item, "$", ITEM_STRUCT)
 
 
-def _line(f: Column, strict: bool) -> Column:
-    """The typed line of ``item_fields``; an amount that is too large is an error, or
-    NULL if not ``strict``."""
+def _beyond(item: Column, field: str) -> Column:
+    """A number of a line that not even the wide type holds, as DOUBLE."""
+    wide = F.try_variant_get(item, f"$.{field}", "double")
+    return F.when(F.abs(wide) < float("inf"), wide)
+
+
+def _line(item: Column, f: Column, strict: bool) -> Column:
+    """The typed line of ``f``, the ``item_fields`` of ``item``; an amount that is too large
+    is an error, or NULL if not ``strict``."""
     def amount(x: str) -> Column:
-        return f[x].cast(NUM) if strict else f[x].try_cast(NUM)
+        return F.coalesce(f[x].cast(NUM), _beyond(item, x).cast(NUM)) if strict else f[x].try_cast(NUM)
 
     return F.struct(*(f[x].alias(x) for x in ("ID", "ProductID", "ShadowOf", "ProductName")),
                     *(amount(x).alias(x) for x in ITEM_AMOUNTS),
                     (F.coalesce(F.array_size(f["BundleItems"]), F.lit(0)) > 0).alias("is_bundle"))
 
 
+def _read_lines(doc: Column) -> Column:
+    """Each line as (v, f): its VARIANT and its fields."""
+    return F.transform(order_items(doc), lambda v: F.struct(v.alias("v"), item_fields(v).alias("f")))
+
+
 def typed_lines(doc: Column, strict: bool = True) -> Column:
     """The ``Items`` of an order document as an array of typed structs, each line
     converted from VARIANT once."""
-    return F.transform(F.transform(order_items(doc), item_fields), lambda f: _line(f, strict))
+    return F.transform(_read_lines(doc), lambda x: _line(x["v"], x["f"], strict))
 
 
 def typed_header(doc: Column, strict: bool = True) -> Column:
@@ -140,13 +151,15 @@ def typed_header(doc: Column, strict: bool = True) -> Column:
 
 def line_problems(doc: Column) -> Column:
     """(field, value, reason) of line and header amounts that are too large to be landed."""
-    def too_large(field: Column, wide: Column) -> Column:
-        return F.when(wide.isNotNull() & wide.try_cast(NUM).isNull(),
-                      F.struct(field.alias("field"), wide.cast("string").alias("value"), F.lit("too large").alias("reason")))
-
-    lines = F.transform(F.transform(order_items(doc), item_fields), lambda f, i: F.array(
-        *(too_large(F.concat(F.lit("Items["), i.cast("string"), F.lit(f"].{x}")), f[x]) for x in ITEM_AMOUNTS)))
-    header = F.array(*(too_large(F.lit(x), F.try_variant_get(doc, f"$.{x}", _WIDE)) for x in ("ShippingTotal", "FinalShippingFee")))
+    def too_large(field: Column, item: Column, key: str, narrow: Column) -> Column:
+        return F.when(narrow.isNull() & _beyond(item, key).isNotNull(), F.struct(
+            field.alias("field"), F.try_variant_get(item, f"$.{key}", "string").alias("value"),
+            F.lit("too large").alias("reason")))
+
+    lines = F.transform(_read_lines(doc), lambda x, i: F.array(*(
+        too_large(F.concat(F.lit("Items["), i.cast("string"), F.lit(f"].{k}")), x["v"], k, x["f"][k].try_cast(NUM))
+        for k in ITEM_AMOUNTS)))
+    header = F.array(*(too_large(F.lit(k), doc, k, vnum(doc, f"$.{k}", _NUM)) for k in ("ShippingTotal", "FinalShippingFee")))
     return F.array_compact(F.concat(header, F.coalesce(F.flatten(lines), F.array())))
 
 
@@ -198,7 +211,8 @@ def malformed_line_numbers(raw_orders: DataFrame) -> DataFrame:
     def bad(field: str) -> Column:
         v = F.try_variant_get("item", f"$.{field}", "variant")
         present = v.isNotNull() & ~F.is_variant_null(v)
-        return F.count(F.when(present & F.col("f")[field].isNull(), 1)).cast("long")
+        read = F.col("f")[field] if field == "ID" else F.col("f")[field].try_cast(NUM)
+        return F.count(F.when(present & read.isNull(), 1)).cast("long")
 
     agg = e.agg(*[bad(f).alias(f) for f in ITEM_NUMERIC_FIELDS])
     stack = ", ".join(f"'{f}', `{f}`" for f in ITEM_NUMERIC_FIELDS)
