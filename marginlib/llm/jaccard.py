@@ -459,10 +459,14 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
     share t shingles; every linked pair lies within one family, whose whole
     sets are then searched.
     """
-    all_named = stored(classes.join(comps, classes.doc == comps.node, "left").select(
-        "doc", F.coalesce("component", "doc").alias("comp"), "n", "t", "prefix"))
-    named = stored(all_named.join(_able(all_named), "doc", "left_semi"))
-    discard(all_named)
+    # First among all classes, each for itself, without a shuffle of whole rows; what is
+    # left, with the components.
+    alone = stored(_able(classes.select("doc", F.col("doc").alias("comp"), "t", "prefix")))
+    some = _held(classes.select("doc", "n", "t", "prefix"), alone)
+    some = stored(some.join(comps, some.doc == comps.node, "left")
+                  .select("doc", F.coalesce("component", "doc").alias("comp"), "n", "t", "prefix"))
+    named = stored(_held(some, stored(_able(some))))
+    discard(some)
     first = F.expr(f"n - ceil({pct} * n / 100.0) + 1").cast("int")
     lists = named.select("doc", "comp", F.explode(F.slice("prefix", F.lit(1), first)).alias("key"))
     dealt = _dealt(lists.select("key", "doc"), _between(lists.select("key", "comp"))).join(named, "doc")
@@ -502,20 +506,24 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
 # -- checks on whole texts -------------------------------------------------------------------
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc, text) of the rows of ``docs`` whose doc_id is in ``ids`` (column doc).
+def _held(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose doc is in ``ids`` (column doc).
 
-    A bit set of fixed size over ids keeps most other texts out of the
+    A bit set of fixed size over ids keeps most other rows out of the
     shuffle; the join behind it is exact.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(id_bits(ids.select("doc"), BIT_SET))
+    sent = rows.sparkSession.sparkContext.broadcast(id_bits(ids.select("doc"), BIT_SET))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(in_bits(sent.value, batch.column(0).to_numpy(), BIT_SET)))
 
-    rows = docs.select(F.col("doc_id").alias("doc"), "text")
-    return rows.mapInArrow(run, "doc long, text string").join(ids.distinct(), "doc", "left_semi")
+    return rows.mapInArrow(run, rows.schema).join(ids.distinct(), "doc", "left_semi")
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc, text) of the rows of ``docs`` whose doc_id is in ``ids`` (column doc)."""
+    return _held(docs.select(F.col("doc_id").alias("doc"), "text"), ids)
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, size: int, pct: int) -> DataFrame:
