@@ -110,8 +110,8 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
     flagged before the explode; all line arithmetic runs after it, inside
     whole-stage codegen.
     """
-    specific, generic = seeds.prepared_channel_lookups(channel_map)
-    rules = seeds.prepared_fee_rules(fee_rules)
+    specific, generic = map(seeds.small, seeds.prepared_channel_lookups(channel_map))
+    rules = seeds.small(seeds.prepared_fee_rules(fee_rules))
     o = raw_orders.select(
         "order_id", "created_on", "order_source",
         status_kept(excluded_status_codes).alias("kept"),
@@ -163,7 +163,8 @@ def order_channel(stg_orders_df: DataFrame, channel_map: DataFrame) -> DataFrame
                (m.m_order_source == o.order_source)
                & (m.m_company_id.isNull() | (m.m_company_id == o.company_id)),
                "left")
-    w = Window.partitionBy("order_id").orderBy(F.col("m_company_id").isNotNull().desc())
+    # A key that the map lists twice has its smallest channel, as in the lookups.
+    w = Window.partitionBy("order_id").orderBy(F.col("m_company_id").isNotNull().desc(), "m_channel")
     return (j.withColumn("rn", F.row_number().over(w))
              .where(F.col("rn") == 1)
              .select("order_id", "created_on", "order_shipping_cost", "order_source", "company_id",
@@ -180,11 +181,7 @@ def costed_lines_joined(raw_orders: DataFrame, channel_map: DataFrame, fee_rules
     """int_order_items_costed as a chain of left joins (reference form)."""
     items = stg_order_items(raw_orders)
     resolved = order_channel(stg_orders(raw_orders, excluded_status_codes), channel_map)
-    rules = fee_rules.select(
-        "channel", "fee_method",
-        F.coalesce("fee_pct", F.lit(0).cast("decimal(10,4)")).alias("fee_pct"),
-        F.coalesce("flat_fee", F.lit(0).cast("decimal(12,2)")).alias("flat_fee"),
-        "channel_pays_shipping")
+    rules = seeds.prepared_fee_rules(fee_rules)
     j = (items.join(resolved, "order_id", "left")
               .join(order_revenue(items), "order_id", "left")
               .join(F.broadcast(rules), "channel", "left"))

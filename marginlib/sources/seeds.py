@@ -74,6 +74,9 @@ FEE_RULES_ROWS = [
 SKU_ALIASES_ROWS: list[tuple[str, str]] = []
 # ---------------------------------------------------------------------------
 
+# Size up to which a seed is broadcast.
+BROADCAST_BYTES = 8 << 20
+
 # Fee methods understood by the costing step.
 FROM_ACTUALS = "from_actuals"
 COMPUTED_PCT_FLAT = "computed_pct_flat"
@@ -112,6 +115,14 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
             .csv(path))
 
 
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its plan says that it has ``most`` bytes at most
+    (a CSV counts with the size of its files); else as it is, for a shuffle join or
+    what the adaptive plan measures."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most else df
+
+
 def prepared_channel_lookups(channel_map_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the channel map into (specific, generic) lookups.
 
