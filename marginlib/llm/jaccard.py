@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ SKETCH_BITS = 22        # counters of the rarity sketch
 SLICES = 64             # parts in which sketches are added up
 BLOCK = 1_000           # classes of a group in each of the two blocks that a task holds
 COUNTED = 4_096         # numbers in short lists from which they are merged by counting
+PIECE = 1 << 20         # bytes of texts, about, that are hashed at once
 KEY_BITS = 40           # bits of a shingle's key in packed lists
 CELL_KEYS = 1 << 20     # keys, about, of a cell of packed lists
 BIT_SET = 24            # bits (as a power of two) of the filter in front of text joins
@@ -98,7 +100,13 @@ def shingles(text: str, size: int) -> np.ndarray:
 
 def batch_shingles(column: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a column; other hashes than those of
-    `shingles`, which hashes one text."""
+    `shingles`, which hashes one text.  About a megabyte of texts is worked on at once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    edge = [0, *(np.flatnonzero(np.diff(ends // PIECE)) + 1).tolist(), len(column)]
+    return [s for a, b in zip(edge, edge[1:], strict=False) for s in _piece_shingles(column[a:b], size)]
+
+
+def _piece_shingles(column: pa.Array, size: int) -> list[np.ndarray]:
     data, bounds = lexicon.joined(column, b"\n")
     data = _LOWER[data]
     words, starts = lexicon.split(data, _GAP[data])
