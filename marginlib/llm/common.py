@@ -13,11 +13,20 @@ from pyspark.sql import functions as F
 
 from marginlib.session import shared_dir
 
+BATCH_BYTES = 8 << 20       # bytes of an Arrow batch that a task holds
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of long texts have BATCH_BYTES at most, in this session."""
+    if int(spark.conf.get(_BATCH).removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
@@ -25,6 +34,7 @@ def stored(df: DataFrame) -> DataFrame:
     a recomputation, and later steps may use it several times.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -59,6 +69,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    small_batches(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
