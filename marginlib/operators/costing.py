@@ -126,11 +126,11 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
             lambda acc, x: (acc + F.coalesce(x["LineTotal"], zero())).cast(ORDER_SUM)),
         "lines": F.arrays_zip(F.col("items").alias("f"), _first_flags(F.col("items")).alias("first")),
     })
-    o = (o.join(F.broadcast(specific),
+    o = (o.join(specific,
                 (o.order_source == specific.order_source) & (o.doc_company_id == specific.company_id),
                 "left")
           .drop(specific.order_source, specific.company_id)
-          .join(F.broadcast(generic), "order_source", "left"))
+          .join(generic, "order_source", "left"))
     kept = F.col("kept")
     o = o.select(
         "order_id", "lines", "order_revenue",
@@ -140,7 +140,7 @@ def costed_lines(raw_orders: DataFrame, channel_map: DataFrame, fee_rules: DataF
         F.when(kept, F.coalesce("specific_channel", "generic_channel", F.lit(seeds.DEFAULT_CHANNEL)))
             .alias("channel"),
         F.when(kept, F.col("doc_shipping")).alias("order_shipping_cost"))
-    o = o.join(F.broadcast(rules), "channel", "left")
+    o = o.join(rules, "channel", "left")
     order_cols = [c for c in COSTED_EXTRA if c in o.columns]
     # The outer variant plus a filter on the generated position keeps the
     # optimizer from inferring a non-empty-array filter on the scan side.
@@ -159,7 +159,7 @@ def order_channel(stg_orders_df: DataFrame, channel_map: DataFrame) -> DataFrame
         F.col("channel").alias("m_channel"))
     o = stg_orders_df.select("order_id", "created_on", "order_shipping_cost", "order_source",
                              "company_id")
-    j = o.join(F.broadcast(m),
+    j = o.join(seeds.small(m),
                (m.m_order_source == o.order_source)
                & (m.m_company_id.isNull() | (m.m_company_id == o.company_id)),
                "left")
@@ -184,5 +184,5 @@ def costed_lines_joined(raw_orders: DataFrame, channel_map: DataFrame, fee_rules
     rules = seeds.prepared_fee_rules(fee_rules)
     j = (items.join(resolved, "order_id", "left")
               .join(order_revenue(items), "order_id", "left")
-              .join(F.broadcast(rules), "channel", "left"))
+              .join(seeds.small(rules), "channel", "left"))
     return finish_costing(j).select(*INT_COSTED_COLUMNS)

@@ -15,12 +15,15 @@ def test_seed_over_the_bound_is_not_broadcast(spark, tmp_path, monkeypatch):
     path = tmp_path / "map.csv"
     path.write_text("order_source,company_id,channel\n" + "".join(f"{k},,C{k}\n" for k in range(2000)))
     ro = raw_orders(spark, [order(k, [item(k, "A", 5)], source=k) for k in range(1, 4)])
-    monkeypatch.setattr(spark.conf, "get", spark.conf.get)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         small = costing.costed_lines(ro, seeds.channel_map(spark, str(path)), seeds.fee_rules(spark))
         assert "BroadcastHashJoin" in plan(small)
-        monkeypatch.setattr(seeds.small, "__defaults__", (10,))
+        table = seeds.channel_map(spark, str(path))
+        assert "broadcast" in seeds.small(table)._jdf.logicalPlan().toString().lower()
+        assert "broadcast" not in seeds.small(table, 1000)._jdf.logicalPlan().toString().lower()
+        decide = seeds.small
+        monkeypatch.setattr(seeds, "small", lambda df: decide(df, 1))
         large = costing.costed_lines(ro, seeds.channel_map(spark, str(path)), seeds.fee_rules(spark))
         assert "Broadcast" not in plan(large) and "SortMergeJoin" in plan(large)
         assert rows(small, "order_id", "channel") == rows(large, "order_id", "channel") == [(1, "C1"), (2, "C2"), (3, "C3")]
