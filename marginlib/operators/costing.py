@@ -5,12 +5,13 @@ Two plans with the same result:
 
 ``costed_lines`` (default, shuffle-free).  Header and lines live in the
 same landed document, so the order-level joins of the SQL model are not
-needed: the document is parsed once, the order's revenue is folded over
-its line array, the channel comes from two broadcast lookups into the
+needed: the order's revenue is folded over
+its line array, the channel comes from two lookups into the
 channel-map seed (company-specific first, then generic, then 'Other') and
-the fee rule from a broadcast lookup into the fee seed, and only then are
-the lines exploded.  The whole thing is one stage: scan -> project ->
-broadcast hash joins -> generate.  Seeds are bounded by construction.
+the fee rule from a lookup into the fee seed, and only then are
+the lines exploded.  With seeds up to ``seeds.BROADCAST_BYTES`` the whole thing is
+one stage: scan -> project -> broadcast hash joins -> generate; larger ones are
+joined by shuffle.
 
 ``costed_lines_joined``.  The literal form: lines LEFT JOIN resolved
 orders (left join + row_number per order) LEFT JOIN per-order revenue
