@@ -475,8 +475,14 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
                   .select("doc", F.coalesce("component", "doc").alias("comp"), "n", "t", "prefix"))
     named = stored(_held(some, stored(_able(some))))
     discard(some)
-    first = F.expr(f"n - ceil({pct} * n / 100.0) + 1").cast("int")
-    lists = named.select("doc", "comp", F.explode(F.slice("prefix", F.lit(1), first)).alias("key"))
+    # Of the shingles that other components have too, in their common order, a pair that
+    # shares t has one among the first of each that leave t - 1 behind them.
+    keyed = named.select("doc", "comp", "t", F.posexplode("prefix").alias("place", "key"))
+    shared = (keyed.join(_between(keyed.select("key", "comp")).select("key"), "key").groupBy("doc", "comp", "t")
+              .agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("shared")))
+    first = F.greatest(F.size("shared") - F.col("t").cast("int") + 1, F.lit(0))
+    lists = stored(shared.select("doc", "comp", F.explode(F.slice("shared", F.lit(1), first)).alias("s"))
+                   .select("doc", "comp", F.col("s.key").alias("key")))
     dealt = _dealt(lists.select("key", "doc"), _between(lists.select("key", "comp"))).join(named, "doc")
 
     keys = ["key", "low", "high"]
