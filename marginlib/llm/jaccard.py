@@ -483,7 +483,12 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
     first = F.greatest(F.size("shared") - F.col("t").cast("int") + 1, F.lit(0))
     lists = stored(shared.select("doc", "comp", F.explode(F.slice("shared", F.lit(1), first)).alias("s"))
                    .select("doc", "comp", F.col("s.key").alias("key")))
-    dealt = _dealt(lists.select("key", "doc"), _between(lists.select("key", "comp"))).join(named, "doc")
+    # A key's records meet in the group of the smallest of them.  Near copies share most of their
+    # keys, so a record is sent with its prefix to few groups, not once for each key.
+    leaders = (lists.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("doc").alias("leader"))
+               .where("low < high").select("key", "leader"))
+    groups = stored(lists.join(leaders, "key").select(F.col("leader").alias("key"), "doc").distinct())
+    dealt = _dealt(groups, groups.groupBy("key").agg(F.count("*").alias("rows"))).join(named, "doc")
 
     keys = ["key", "low", "high"]
 
