@@ -61,7 +61,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, np.bool_)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_WORDS_MOST = 400_000
+_WORDS_MOST = 100_000
 
 
 class _Words(dict):
@@ -408,6 +408,12 @@ def _dealt(rows: DataFrame, keys: DataFrame) -> DataFrame:
             .drop("blocks", "other"))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of (numbers, counts), a number once."""
+    numbers, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+    return numbers, np.bincount(at, np.concatenate([n for _, n in parts]), len(numbers)).astype(np.int64)
+
+
 def _able(named: DataFrame) -> DataFrame:
     """Classes (doc) whose prefix shares t shingles or more with other components.
 
@@ -417,6 +423,7 @@ def _able(named: DataFrame) -> DataFrame:
     """
     total = int(named.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0)
     bits = min(24, max(4, (total // CELL_KEYS).bit_length()))
+    buckets = 1 << max(4, bits - 4)             # of classes, to whom their shared keys are added up
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -450,12 +457,26 @@ def _able(named: DataFrame) -> DataFrame:
             start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             apart = np.minimum.reduceat(comps, start) < np.maximum.reduceat(comps, start)
             found, n = np.unique(docs[np.repeat(apart, np.diff(start, append=len(keys)))], return_counts=True)
-            if len(found):
-                yield pa.record_batch([pa.array(found), pa.array(n)], ["doc", "found"])
+            bucket = _mix(found.view(np.uint64)) % np.uint64(buckets)
+            for b in np.unique(bucket).tolist():
+                own = bucket == b
+                body = lexicon.pack(np.diff(found[own], prepend=0), lexicon.narrow(n[own]))
+                yield pa.record_batch([pa.array([b], pa.int64()), pa.array([body])], ["bucket", "body"])
+
+    def total_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in lexicon.by_key(batches, "bucket"):
+            held, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
+            for _, body in group:
+                steps, n = lexicon.unpack(body)
+                waiting.append((np.cumsum(steps), n.astype(np.int64)))
+                if sum(len(x) for x, _ in waiting) > CELL_KEYS:
+                    held, waiting = _added([held, *waiting]), []
+            held = _added([held, *waiting])
+            yield pa.record_batch([pa.array(x) for x in held], ["doc", "found"])
 
     packs = named.select("doc", "comp", "prefix").mapInArrow(deal, "cell long, body binary")
-    found = (packs.repartition("cell").sortWithinPartitions("cell").mapInArrow(shared, "doc long, found long")
-             .groupBy("doc").agg(F.sum("found").alias("found")))
+    counts = packs.repartition("cell").sortWithinPartitions("cell").mapInArrow(shared, "bucket long, body binary")
+    found = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(total_of, "doc long, found long")
     return named.select("doc", "t").join(found, "doc").where("found >= t").select("doc")
 
 
