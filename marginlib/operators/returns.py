@@ -4,9 +4,11 @@ alias -> exact -> normalized -> unmatched.
 
 Plan: the comma list is split and cleaned as an array, its size gives the
 part count (no window, no shuffle on the returns side), then it is
-exploded.  The three references are grouped by their key; the returns side
-is shuffled once per key (exact, then normalized) and AQE broadcasts a
-reference whenever its measured size allows.
+exploded.  Different typed SKUs, counted with partial sums, are matched
+against the three references, each grouped by its key; the lines then
+take their SKU's match.  The ``HEAVY`` commonest SKUs are broadcast for that, as
+their lines would meet in one task; the others are shuffled once, and AQE
+broadcasts their matches too whenever the measured size allows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ DISPOSITION_PREFIXES = [
     ("PARTS", "scrapped"),
 ]
 UNKNOWN = "unknown"
+# Typed SKUs whose matches are broadcast: any with over 1/HEAVY of the lines is one of them.
+HEAVY = 64
 
 STG_RETURNS_COLUMNS = ["return_line_id", "submission_id", "created_at", "order_rma",
                        "channel_reported", "reason", "disposition", "disposition_category",
@@ -39,8 +43,12 @@ def key_exact(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
+def _alphanumerics(c: Column) -> Column:
+    return F.regexp_replace(c, "[^a-z0-9]+", "")
+
+
 def key_fuzzy(c: Column) -> Column:
-    return F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9]+", "")
+    return _alphanumerics(key_exact(c))
 
 
 def disposition_category(d: Column) -> Column:
@@ -113,16 +121,41 @@ def aliases_ref(aliases: DataFrame) -> DataFrame:
             .agg(F.min("canonical_sku").alias("canonical_sku")))
 
 
-def stg_returns(raw_returns: DataFrame, stg_catalog_df: DataFrame, aliases: DataFrame) -> DataFrame:
-    """J7 + F16 + F18 + F20: the cleaned returns table."""
-    p = exploded(raw_returns)
+def matched_keys(lines: DataFrame, stg_catalog_df: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(k, lines, al_sku, re_sku, rf_sku), a row for each different typed SKU of ``lines``."""
     u = sku_universe(stg_catalog_df, distinct=False)
     al = aliases_ref(aliases).select(F.col("k").alias("al_k"), F.col("canonical_sku").alias("al_sku"))
     re_ = ref_exact(u).select(F.col("k").alias("re_k"), F.col("canonical_sku").alias("re_sku"))
     rf = ref_fuzzy(u).select(F.col("k").alias("rf_k"), F.col("canonical_sku").alias("rf_sku"))
-    j = (p.join(al, p.key_exact == al.al_k, "left")
-          .join(re_, p.key_exact == re_.re_k, "left")
-          .join(rf, p.key_fuzzy == rf.rf_k, "left"))
+    keys = lines.groupBy(F.col("key_exact").alias("k")).agg(F.count("*").alias("lines"))
+    return (keys.join(al, F.col("k") == F.col("al_k"), "left")
+            .join(re_, F.col("k") == F.col("re_k"), "left")
+            .join(rf, _alphanumerics(F.col("k")) == F.col("rf_k"), "left")
+            .select("k", "lines", *_TIERS))
+
+
+_TIERS = ("al_sku", "re_sku", "rf_sku")
+
+
+def _matched(lines: DataFrame, matches: DataFrame) -> DataFrame:
+    """``lines`` with the columns of their SKU's row in ``matches``."""
+    heavy = (matches.orderBy(F.desc("lines"), "k").limit(HEAVY)
+             .select(F.col("k").alias("heavy_k"), *(F.col(t).alias(f"heavy_{t}") for t in _TIERS)))
+    light = matches.select(F.col("k").alias("light_k"), *(F.col(t).alias(f"light_{t}") for t in _TIERS))
+    is_heavy = F.col("heavy_k").isNotNull()
+    # Lines that have their match already are spread by submission.
+    spread = F.concat(F.lit("\u0000"), F.coalesce("submission_id", F.lit("")))
+    j = (lines.join(F.broadcast(heavy), F.col("key_exact") == F.col("heavy_k"), "left")
+         .withColumn("spot", F.when(is_heavy, spread).otherwise(F.col("key_exact")))
+         .join(light, F.col("spot") == F.col("light_k"), "left"))
+    return j.select(*lines.columns, *(F.when(is_heavy, F.col(f"heavy_{t}")).otherwise(F.col(f"light_{t}")).alias(t)
+                                      for t in _TIERS))
+
+
+def stg_returns(raw_returns: DataFrame, stg_catalog_df: DataFrame, aliases: DataFrame) -> DataFrame:
+    """J7 + F16 + F18 + F20: the cleaned returns table."""
+    p = exploded(raw_returns)
+    j = _matched(p, matched_keys(p, stg_catalog_df, aliases))
     cat = F.col("disposition_category")
     status = (F.when(F.col("al_sku").isNotNull(), "alias")
                .when(F.col("re_sku").isNotNull(), "exact")

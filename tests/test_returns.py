@@ -1,6 +1,8 @@
 """Returns cleaning: split, cost share, disposition, tiered SKU matching."""
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from helpers import raw_catalog, raw_returns, rows
 from marginlib.operators import returns, staging
 
@@ -75,3 +77,36 @@ def test_flags(spark):
                               spark.createDataFrame([], "entered_sku string, canonical_sku string"))
     got = rows(out, "submission_id", "is_warranty", "resells_as_new", "resells_as_sd", "is_scrapped")
     assert got == [("1", True, False, False, False), ("2", False, False, True, False)]
+
+
+def test_hot_typed_sku_is_spread(spark):
+    """A third of the lines with one SKU: all match, and no task holds twice the median."""
+    n = 1_200
+    r = raw_returns(spark, [sub(str(i), "HOT.1" if i % 3 == 0 else f"s-{i}") for i in range(n)])
+    cat = catalog(spark, [{"ProductID": "hot-1"}, {"ProductID": "S-1"}])
+    aliases = spark.createDataFrame([], "entered_sku string, canonical_sku string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = returns.stg_returns(r, cat, aliases)
+        sizes = [x["count"] for x in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        status = {(x.sku_entered[:3], x.sku, x.sku_match_status) for x in out.collect() if x.sku_entered in ("HOT.1", "s-1", "s-2")}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert status == {("HOT", "hot-1", "normalized"), ("s-1", "S-1", "exact"), ("s-2", "s-2", "unmatched")}
+    assert sum(sizes) == n and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_more_hot_skus_than_are_broadcast(spark, monkeypatch):
+    """Heavy and light keys agree with a lookup of each line."""
+    monkeypatch.setattr(returns, "HEAVY", 2)
+    r = raw_returns(spark, [sub(str(i), f"k{i % 5}, K-{i % 5},zz") for i in range(40)])
+    cat = catalog(spark, [{"ProductID": f"K{i}"} for i in range(4)])
+    aliases = spark.createDataFrame([("zz", "K0")], "entered_sku string, canonical_sku string")
+    got = {(x.sku_entered, x.sku, x.sku_match_status) for x in returns.stg_returns(r, cat, aliases).collect()}
+    assert got == ({(f"k{i}", f"K{i}", "exact") for i in range(4)} | {(f"K-{i}", f"K{i}", "normalized") for i in range(4)}
+                   | {("k4", "k4", "unmatched"), ("K-4", "K-4", "unmatched"), ("zz", "K0", "alias")})
