@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marginlib.session import shared_dir
 
-BATCH_BYTES = 8 << 20       # bytes of an Arrow batch that a task holds
+BATCH_BYTES = 4 << 20       # bytes of an Arrow batch that a task holds
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -59,6 +60,23 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for `mapInArrow`, giving free memory back to the system when its task ends.
+
+    Python workers are used again; what one step has held and freed would count
+    against the next ones.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+            if trim:
+                trim(0)
+    return task
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Apply a batch function in every task.
 
@@ -80,7 +98,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
                 yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type)
                                        for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def slices(batch: pa.RecordBatch, bytes_most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

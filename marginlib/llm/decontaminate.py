@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginlib.llm.common import lean
+
 TILE_WORDS = 5
 COVERAGE_PCT = 60
 BLOCK_WORDS = 2_000_000         # benchmark words sent to the tasks at once (16 MB)
@@ -262,7 +264,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, tile_words: int = TILE_WOR
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema=_LEAKS_ARROW)
 
-        return prepared.mapInArrow(run, LEAKS)
+        return prepared.mapInArrow(lean(run), LEAKS)
 
     out = spark.createDataFrame([], LEAKS)
     for block in blocks(benchmark, tile_words, block_words):
@@ -296,7 +298,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, tile_words: int = TILE_WOR
                     keep[row] = False
                 yield batch.select(batch.schema.names[:-1]).filter(pa.array(keep))
 
-        return left.withColumn(own, words(F.col("text"))).mapInArrow(run, schema)
+        return left.withColumn(own, words(F.col("text"))).mapInArrow(lean(run), schema)
 
     for block in blocks(benchmark, tile_words, block_words):
         docs = one(docs, block)

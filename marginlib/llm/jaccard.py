@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlib.llm import lexicon
-from marginlib.llm.common import discard, id_bits, in_bits, map_batches, slices, stored
+from marginlib.llm.common import discard, id_bits, in_bits, lean, map_batches, slices, stored
 from marginlib.llm.components import components
 
 SHARED = 4              # shingles at least that two linkable classes share within their prefixes
@@ -140,6 +140,7 @@ def _class_of(s: np.ndarray) -> tuple[int, int]:
 def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     """How often each of 2**SKETCH_BITS groups of shingles occurs in all documents."""
     cells = 1 << SKETCH_BITS
+    step = cells // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.uint32)
@@ -147,28 +148,28 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
             for part in slices(batch):
                 for s in batch_shingles(part.column(0), size):
                     total[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += 1
-        step = cells // SLICES
-        if total.any():
-            yield pa.record_batch([pa.array(range(SLICES), pa.int32()),
-                                   pa.array([total[i * step:(i + 1) * step].tobytes()
-                                             for i in range(SLICES)])], ["slice", "counts"])
+        for i in range(SLICES):         # only the counters that a task has counted
+            own = total[i * step:(i + 1) * step]
+            at = np.flatnonzero(own)
+            if len(at):
+                body = lexicon.pack(lexicon.narrow(at), lexicon.narrow(own[at]))
+                yield pa.record_batch([pa.array([i], pa.int32()), pa.array([body])], ["slice", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                one = np.frombuffer(raw, np.uint32).astype(np.uint64)
-                sums[k] = sums[k] + one if k in sums else one
+                at, n = lexicon.unpack(raw)
+                sums.setdefault(k, np.zeros(step, np.uint64))[at] += n
         for k, v in sums.items():
             yield pa.record_batch([pa.array([k], pa.int32()),
                                    pa.array([np.minimum(v, 65535).astype(np.uint16).tobytes()])],
                                   ["slice", "counts"])
 
     schema = "slice int, counts binary"
-    parts = (docs.select("text").mapInArrow(count, schema)
-             .repartition(min(SLICES, 16), "slice").mapInArrow(add, schema).collect())
+    parts = (docs.select("text").mapInArrow(lean(count), schema)
+             .repartition(min(SLICES, 16), "slice").mapInArrow(lean(add), schema).collect())
     out = np.zeros(cells, np.uint16)
-    step = cells // SLICES
     for r in parts:     # fixed size: 2**SKETCH_BITS counters of two bytes
         out[r.slice * step:(r.slice + 1) * step] = np.frombuffer(r.counts, np.uint16)
     return out
@@ -474,9 +475,9 @@ def _able(named: DataFrame) -> DataFrame:
             held = _added([held, *waiting])
             yield pa.record_batch([pa.array(x) for x in held], ["doc", "found"])
 
-    packs = named.select("doc", "comp", "prefix").mapInArrow(deal, "cell long, body binary")
-    counts = packs.repartition("cell").sortWithinPartitions("cell").mapInArrow(shared, "bucket long, body binary")
-    found = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(total_of, "doc long, found long")
+    packs = named.select("doc", "comp", "prefix").mapInArrow(lean(deal), "cell long, body binary")
+    counts = packs.repartition("cell").sortWithinPartitions("cell").mapInArrow(lean(shared), "bucket long, body binary")
+    found = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(total_of), "doc long, found long")
     return named.select("doc", "t").join(found, "doc").where("found >= t").select("doc")
 
 
@@ -524,7 +525,7 @@ def _search(docs: DataFrame, classes: DataFrame, comps: DataFrame, size: int, pc
     # Most groups have two or three records: they follow each other in a sorted
     # stream, which costs far less than a call for each.
     joined = (dealt.select(*keys, "doc", "comp", "n", "t", "prefix").repartition(*keys)
-              .sortWithinPartitions(*keys).mapInArrow(join_families, "a long, b long").distinct())
+              .sortWithinPartitions(*keys).mapInArrow(lean(join_families), "a long, b long").distinct())
     own = named.select(F.col("doc").alias("a"), F.col("comp").alias("b"))
     families = stored(components(joined.union(own)).withColumnsRenamed({"node": "doc", "component": "key"}))
     members = (named.select("doc", "comp").join(families, "doc"))
@@ -558,7 +559,7 @@ def _held(rows: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(in_bits(sent.value, batch.column(0).to_numpy(), BIT_SET)))
 
-    return rows.mapInArrow(run, rows.schema).join(ids.distinct(), "doc", "left_semi")
+    return rows.mapInArrow(lean(run), rows.schema).join(ids.distinct(), "doc", "left_semi")
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from marginlib.llm.common import map_batches, slices, texts
+from marginlib.llm.common import lean, map_batches, slices, texts
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -176,4 +176,4 @@ def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
                     batch = batch.set_column(i, f, pc.utf8_length(text).cast(f.type))
                 yield batch.filter(keep)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
