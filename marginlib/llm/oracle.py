@@ -104,3 +104,26 @@ FROM y JOIN n ON n.lang = y.lang LEFT JOIN i ON i.lang = y.lang AND i.phrase = y
 WHERE coalesce(100 * i.longer < 50 * a, TRUE)
 QUALIFY row_number() OVER (PARTITION BY y.lang ORDER BY score DESC, a DESC, y.phrase) <= 2000
 """
+
+# Escaping adds a character for each backslash and each start of a control string; of control strings that start
+# alike the shortest is counted.  A turn's marks have 25 characters.
+_ADDED = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in (
+    "\\", "<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"))
+
+CHAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL
+  SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(25 + length(role) + length(text) + {_ADDED.format("role")} + {_ADDED.format("text")}) AS chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM c
+"""

@@ -103,5 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op10_byte_bpe, op11_filter_audit, op12_private_data, op13_phrase_collocation, pipeline)
 }
 
-ORACLE_SQL = {"op6_jaccard_join": oracle.JACCARD, "op11_filter_audit": oracle.FILTER_AUDIT,
-              "op13_phrase_collocation": oracle.COLLOCATION}
+ORACLE_SQL = {"op6_jaccard_join": oracle.JACCARD, "op7_chat_format": oracle.CHAT,
+              "op11_filter_audit": oracle.FILTER_AUDIT, "op13_phrase_collocation": oracle.COLLOCATION}
