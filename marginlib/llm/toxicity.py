@@ -15,7 +15,8 @@ Defined results: a null text counts as empty and has a score like any other;
 labels without a document, or null ones, are ignored; a document with several
 label rows takes the largest; repeated documents are scored each; without both
 labels in the training rows every score is the share of toxic labels (0 if there
-are none); an empty table gives an empty result; extra columns are not read.
+are none); a row without doc_id is scored and has held_out null; an empty table
+gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
