@@ -85,17 +85,25 @@ WHOLESALE_NONE = "wholesale_none"
 DEFAULT_CHANNEL = "Other"
 
 
+def _literal(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """``rows`` as literals of the plan, whose size the plan knows: a frame made from Python
+    rows has no size, so ``small`` would leave it to a shuffle of what it is joined to."""
+    array = F.array(*(F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)))
+                      for r in rows))
+    return spark.range(0, 1, 1, 1).select(F.inline(array))
+
+
 def channel_map(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         return _read_csv(spark, path, CHANNEL_MAP_SCHEMA)
-    return spark.createDataFrame(CHANNEL_MAP_ROWS, CHANNEL_MAP_SCHEMA)
+    return _literal(spark, CHANNEL_MAP_ROWS, CHANNEL_MAP_SCHEMA)
 
 
 def fee_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         return _read_csv(spark, path, FEE_RULES_SCHEMA)
     rows = [(c, m, Decimal(p), Decimal(f), s) for c, m, p, f, s in FEE_RULES_ROWS]
-    return spark.createDataFrame(rows, FEE_RULES_SCHEMA)
+    return _literal(spark, rows, FEE_RULES_SCHEMA)
 
 
 def sku_aliases(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -31,6 +31,17 @@ def test_seed_over_the_bound_is_not_broadcast(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_default_seeds_are_broadcast(spark):
+    for seed, n in ((seeds.channel_map(spark), len(seeds.CHANNEL_MAP_ROWS)), (seeds.fee_rules(spark), len(seeds.FEE_RULES_ROWS))):
+        assert "broadcast" in seeds.small(seed)._jdf.logicalPlan().toString().lower()
+        assert seed.count() == n
+    assert {tuple(r) for r in seeds.channel_map(spark).collect()} == set(seeds.CHANNEL_MAP_ROWS)
+    ro = raw_orders(spark, [order(1, [item(1, "A", 5)])])
+    costed = costing.costed_lines(ro, seeds.channel_map(spark), seeds.fee_rules(spark))
+    # Orders are not shuffled by source or channel.
+    assert "SortMergeJoin" not in plan(costed) and "Exchange hashpartitioning" not in plan(costed)
+
+
 def test_repeated_seed_rows_give_one_result(spark):
     ro = raw_orders(spark, [order(1, [item(1, "A", 5), item(2, "B", 6)], source=4), order(2, [item(3, "A", 5)], source=6, company="195")])
     twice = spark.createDataFrame([(4, None, "Zeta"), (4, None, "Amazon"), (6, "195", "Target"), (6, "195", "Lowe's")],
