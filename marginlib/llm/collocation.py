@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from marginlib.llm import lexicon, quotient
-from marginlib.llm.common import stored
+from marginlib.llm.common import lean, stored
 
 LEAST = 10                  # occurrences of a phrase that counts
 BEST = 2000                 # phrases of each language
@@ -87,7 +87,7 @@ def shards(docs: DataFrame, buckets: int) -> DataFrame:
                                 for b, packed in lexicon.word_packs(different, bucket, times))], schema)
                 number += 1
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(run, _SHARDS)
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(lean(run), _SHARDS)
 
 
 def _numbered(packs: DataFrame, buckets: int, least: int) -> DataFrame:
@@ -124,7 +124,7 @@ def _numbered(packs: DataFrame, buckets: int, least: int) -> DataFrame:
                         zip(ids[at % len(seen)].tolist(), (at % len(seen)).tolist(), times_.tolist(), strict=True)])], schema)
 
     # In the order of shards, so that a task that is run again gives the same numbers.
-    return (packs.repartition("bucket").sortWithinPartitions("bucket", "shard").mapInArrow(run, _NUMBERS))
+    return (packs.repartition("bucket").sortWithinPartitions("bucket", "shard").mapInArrow(lean(run), _NUMBERS))
 
 
 def _slices(mask: np.ndarray, *arrays: np.ndarray, size: int = 1 << 16) -> Iterator[tuple]:
@@ -159,7 +159,7 @@ def _filters(own: DataFrame, numbers: DataFrame, bits: int, held: int) -> DataFr
 
     columns = ["shard", "bucket", "lang", "body"]
     return (own.select(*columns).union(numbers.select(*columns)).repartition("shard")
-            .sortWithinPartitions("shard", "bucket").mapInArrow(run, "lang string, cell long, body binary"))
+            .sortWithinPartitions("shard", "bucket").mapInArrow(lean(run), "lang string, cell long, body binary"))
 
 
 def _frequent(filters: DataFrame, bits: int, least: int) -> DataFrame:
@@ -181,7 +181,7 @@ def _frequent(filters: DataFrame, bits: int, least: int) -> DataFrame:
                 yield pa.record_batch([pa.array([lang] * n, pa.string()), *map(pa.array, grams),
                                        pa.array(merged.counts[enough])], ["lang", "a", "b", "c", "f"])
 
-    return (filters.repartition("lang", "cell").sortWithinPartitions("lang", "cell").mapInArrow(run, _GRAMS))
+    return (filters.repartition("lang", "cell").sortWithinPartitions("lang", "cell").mapInArrow(lean(run), _GRAMS))
 
 
 def _merged(first: quotient.Filter | None, others: list[quotient.Filter]) -> quotient.Filter:

@@ -118,3 +118,17 @@ def test_large_counts_are_exact(spark):
     row = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
     from pyspark.sql import functions as F
     assert row.select(collocation._score(F.col("a"), F.col("l"), F.col("r"))).first()[0] == 10**6 * a * a // (left * right)
+
+
+def test_tasks_give_memory_back(spark, monkeypatch):
+    frame = type(spark.range(0))
+    steps, plain = [], frame.mapInArrow
+
+    def recorded(self, func, *args, **kwargs):
+        steps.append(func.__qualname__)
+        return plain(self, func, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", recorded)
+    docs = spark.createDataFrame([(k, "one two three", "en") for k in range(12)], "doc_id long, text string, lang string")
+    assert [r.phrase for r in collocation.mine(docs).collect()] == ["one two three"]
+    assert len(steps) == 4 and all(s.startswith("lean.") for s in steps)
