@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlib.llm.bwt import least_by_window
-from marginlib.llm.common import id_bits, in_bits, slices, stored
+from marginlib.llm.common import id_bits, in_bits, lean, slices, small_batches, stored
 
 LENGTH = 50
 GRAM = 24
@@ -270,9 +270,9 @@ def _shared_names(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray,
                                    pa.array([_packed_bits(keys[often > MANY], MANY_BITS, range_bits)])],
                                   ["part", "n", "n_many", "bits", "many"])
 
-    found = (docs.select("doc_id", "text").mapInArrow(listed, "part int, n int, keys binary")
+    found = (docs.select("doc_id", "text").mapInArrow(lean(listed), "part int, n int, keys binary")
              .repartition("part").sortWithinPartitions("part")
-             .mapInArrow(repeated, "part int, n long, n_many long, bits binary, many binary").collect())
+             .mapInArrow(lean(repeated), "part int, n long, n_many long, bits binary, many binary").collect())
     out, many = np.zeros(1 << (NAME_BITS - 3), np.uint8), np.zeros(1 << (MANY_BITS - 3), np.uint8)
     for r in found:         # a fixed size in all: 2**NAME_BITS and 2**MANY_BITS bits
         for bits, own in ((out, r.bits), (many, r.many)):
@@ -417,7 +417,7 @@ def _resolve_shards(segments: DataFrame, length: int) -> DataFrame:
         return pa.Table.from_batches([_by_segment(h1, h2, *_runs(of, at, value[:len(of)], high, length))])
 
     held = stored(segments.select("shard", "low", "high", "segment")
-                  .mapInArrow(windows, "shard long, w1 long, w2 long, low long, high long"))
+                  .mapInArrow(lean(windows), "shard long, w1 long, w2 long, low long, high long"))
     least = (held.groupBy("w1", "w2").agg(F.min("low").alias("least"), F.max("high").alias("most"))
              .where("least < most").drop("most"))
     met = held.select("shard", "w1", "w2").join(least, ["w1", "w2"])
@@ -491,15 +491,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                   ["doc", "digest", "at", "h1", "h2"])
 
     resolved = stored(docs.select("doc_id", "text")
-                      .mapInArrow(different, "cell long, n int, size long, segments binary")
+                      .mapInArrow(lean(different), "cell long, n int, size long, segments binary")
                       .repartition(parts, "cell").sortWithinPartitions("cell")
-                      .mapInArrow(lambda batches: _resolve(batches, length, 1 << cell_bits),
+                      .mapInArrow(lean(lambda batches: _resolve(batches, length, 1 << cell_bits)),
                                   f"h1 long, h2 long, {RANGES}, shard long, low long, high long, segment binary"))
     whole = resolved.where("shard is null").select("h1", "h2", "ranges")
     if shards:
         whole = whole.union(stored(_resolve_shards(resolved.where("shard is not null"), length)))
     held = (docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-            .mapInArrow(places, "doc long, digest long, at long, h1 long, h2 long").join(whole, ["h1", "h2"]))
+            .mapInArrow(lean(places), "doc long, digest long, at long, h1 long, h2 long").join(whole, ["h1", "h2"]))
     mine = F.filter("ranges", lambda r: r["low"] < F.col("doc"))
     return (held.select("doc", "digest", "at", mine.alias("ranges")).where(F.size("ranges") > 0)
             .select("doc", "digest", F.transform("ranges", lambda r: F.struct(
@@ -524,6 +524,7 @@ REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row, with the
     bytes that are left (`kept`) on request."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     spans = stored(repeated_spans(docs, length))
     bits = docs.sparkSession.sparkContext.broadcast(id_bits(spans.select("doc"), ID_BITS))
@@ -557,7 +558,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
             yield reduced(batch)
 
     # Only texts that may have lost something are shuffled.
-    maybe = docs.mapInArrow(part(True), "doc_id long, text string").withColumn("digest", F.xxhash64("text"))
+    maybe = docs.mapInArrow(lean(part(True)), "doc_id long, text string").withColumn("digest", F.xxhash64("text"))
     met = maybe.join(spans, (F.col("doc_id") == F.col("doc")) & (maybe.digest == spans.digest), "left")
-    return (docs.mapInArrow(part(False), schema)
-            .union(met.select("doc_id", "text", "covered").mapInArrow(finish, schema)))
+    return (docs.mapInArrow(lean(part(False)), schema)
+            .union(met.select("doc_id", "text", "covered").mapInArrow(lean(finish), schema)))

@@ -152,6 +152,24 @@ def test_merged_transforms():
                                     for i in range(len(s) - 3)]
 
 
+@pytest.mark.parametrize("depth", [1, 6, 7, 8, 50])
+def test_transforms_merge_in_few_rounds(monkeypatch, depth):
+    rng = random.Random(depth)
+    passage = "".join(rng.choice("ab \u00e9") for _ in range(400)).encode()
+    strings = [passage[rng.randrange(200):][:rng.randint(depth, 200)] + bytes(rng.choices(b"ab\x00\xff", k=20))
+               for _ in range(40)] + [b"a" * depth, b"b" * 90, b"b" * 80]
+    owners = np.array([rng.randrange(1000) for _ in strings])
+    wanted = [[min(o for t, o in zip(strings, owners, strict=True) if s[i:i + depth] in t)
+               for i in range(len(s) - depth + 1)] for s in strings]
+    for shards in (1, 2, 5):
+        assert [x.tolist() for x in bwt.least_by_window(strings, owners, depth, shards)] == wanted
+    built = [bwt.Shard(strings[:20], depth), bwt.Shard(strings[20:], depth)]
+    sorts, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *args, **kwargs: sorts.append(1) or plain(*args, **kwargs))
+    bwt.merge(built, depth)
+    assert len(sorts) <= 2 * (depth // bwt.BLOCK + 1) + 2
+
+
 def test_suffix_dedup_brute_force(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     rows += [(None, rows[0][1]), (900, "Heat " * 300), (901, "Heat " * 200), (-1, rows[5][1][10:90])]
